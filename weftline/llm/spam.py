@@ -33,7 +33,7 @@ PROSE_WORDS, PROSE_SHARE = 8, 0.25
 #: A word is known to prose at this rate of its words.
 KNOWN_RATE, KNOWN_LEAST = 1e-5, 3
 #: Scores beyond these quantiles of prose are abnormal; the low one is reduced by a margin in nats.
-LOW_Q, HIGH_Q, LOW_MARGIN = 0.0005, 0.985, 0.1
+LOW_Q, HIGH_Q, LOW_MARGIN = 0.0005, 0.995, 0.1
 #: A page is spam above this share of abnormal text.
 MOST_ABNORMAL = 0.5
 #: Words that count as repeated if they occurred among so many content words before; least words of a segment.
