@@ -210,7 +210,7 @@ BLOCKS = 8
 def spelling_pairs(linked: DataFrame) -> DataFrame:
     """(mfr_a, mfr_b), mfr_a < mfr_b: all pairs of spellings of one maker."""
     left = linked.select(F.col("mfr").alias("mfr_a"), "maker", F.expr(f"pmod(xxhash64(mfr), {BLOCKS})").alias("block"))
-    right = linked.select(F.col("mfr").alias("mfr_b"), "maker", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1))).cast("long").alias("block"))
+    right = linked.select(F.col("mfr").alias("mfr_b"), "maker", F.explode(F.expr(f"sequence(0L, {BLOCKS - 1}L)")).alias("block"))
     return left.join(right, ["maker", "block"]).filter("mfr_a < mfr_b").select("mfr_a", "mfr_b")
 
 
