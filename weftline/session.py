@@ -31,8 +31,20 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, memory: s
     return spark
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def show_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine find the package also where it is not installed."""
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` of the data folder ``sf_dir`` (a file or a folder)."""
+    show_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
