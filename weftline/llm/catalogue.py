@@ -5,7 +5,7 @@ from __future__ import annotations
 from importlib import import_module
 
 #: Modules that define QUERIES (name -> function) and perhaps SQL (name -> text).
-MODULES = ("makers", "ledger", "canonical", "splitting", "mixing", "leakage", "spam")
+MODULES = ("makers", "ledger", "canonical", "splitting", "mixing", "leakage", "spam", "scans")
 
 
 def queries() -> dict:
