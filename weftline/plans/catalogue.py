@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 FLAGSHIP = "p5_found"
 #: Modules that define QUERIES (name -> function) and perhaps SQL (name -> text).
-MODULES = ("timestamps",)
+MODULES = ("timestamps", "notices", "corpus")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
