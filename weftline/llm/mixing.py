@@ -132,7 +132,7 @@ def shares(mixed: DataFrame, docs: DataFrame, targets: DataFrame) -> DataFrame:
     """One row per target source: its target share, the share reached, tokens and documents used, repeats."""
     used = mixed.groupBy("source").agg(F.sum(F.col("tokens") * F.col("copies")).alias("used_tokens"), F.count("*").alias("used_docs"), F.max("copies").alias("most_copies"))
     have = docs.groupBy("source").agg(F.count("*").alias("source_docs"))
-    t = targets.join(used, "source", "left").join(have, "source", "left")
+    t = targets.select("source", "target_share", "max_repeats").join(used, "source", "left").join(have, "source", "left")
     everything = F.expr("sum(used_tokens) OVER ()")  # one row per target source
     return t.withColumn("all_tokens", everything).select(
         "source", "target_share", F.coalesce(F.round(F.col("used_tokens") / F.col("all_tokens"), 6), F.lit(0.0)).alias("reached_share"),

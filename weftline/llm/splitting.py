@@ -100,7 +100,7 @@ def split_texts(texts: DataFrame) -> DataFrame:
 def limited_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections with the limits of their domain (a section without a known domain has none)."""
     s = table(spark, sf_dir, "base_sections").select("section_id", "domain", "content")
-    return s.join(table(spark, sf_dir, "split_limits"), "domain")
+    return s.join(table(spark, sf_dir, "split_limits").select("domain", "max_chars", "overlap_chars"), "domain")
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
