@@ -401,7 +401,7 @@ def repair_codes(entries: DataFrame) -> DataFrame:
     @F.pandas_udf("double")
     def score(number: pd.Series, target: pd.Series) -> pd.Series:
         x = np.array([[code_misreads(a, b), sum(p != q for p, q in zip(a, b))] for a, b in zip(number, target)], dtype=float).reshape(-1, 2)
-        return pd.Series(model.value.score(x))
+        return pd.Series(np.where(x[:, 0] <= 3, model.value.score(x), 0.0))  # what no misreading explains is another number
 
     best = pairs.withColumn("p", score("number", "target")).filter("p > 0.5").groupBy("procedure_id", "number").agg(F.max_by("target", F.struct("n_target", "p", "target")).alias("target"))
     fixed = read.join(best, ["procedure_id", "number"], "left").withColumn("fixed", F.coalesce("target", "number"))

@@ -33,7 +33,7 @@ PROSE_WORDS, PROSE_SHARE = 8, 0.25
 #: A word is known to prose at this rate of its words.
 KNOWN_RATE, KNOWN_LEAST = 1e-5, 3
 #: Scores beyond these quantiles of prose are abnormal; the low one is reduced by a margin in nats.
-LOW_Q, HIGH_Q, LOW_MARGIN = 0.0005, 0.995, 0.1
+LOW_Q, HIGH_Q, LOW_MARGIN = 0.0005, 0.998, 0.1
 #: A page is spam above this share of abnormal text.
 MOST_ABNORMAL = 0.5
 #: Words that count as repeated if they occurred among so many content words before; least words of a segment.
@@ -199,14 +199,14 @@ def _score(function, known, model):
                 memory: deque = deque(maxlen=MEMORY)
                 for s in segments(text):
                     if seq := classes(s, function.value, known.value, memory):
-                        rows.append((d, len(s), m.score(seq), prose))
+                        rows.append((d, len(s), m.score(seq), prose and seq[-1] == "$" and len(seq) > LEAST_WORDS))
             yield pd.DataFrame(rows, columns=["doc_id", "chars", "score", "prose"]).astype({"doc_id": "int64", "chars": "int64", "score": "float64", "prose": "bool"})
 
     return run
 
 
 def scored_segments(docs: DataFrame) -> DataFrame:
-    """(doc_id, chars, score, prose) of every segment; ``prose`` where its document trained the model."""
+    """(doc_id, chars, score, prose) of every segment; ``prose`` for the sentences of documents that trained the model."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
     rows = spread(docs.select(F.col("doc_id").cast("long"), "lang", "text").filter("text IS NOT NULL"), parallelism(spark))

@@ -143,7 +143,7 @@ def trie_join(queries: DataFrame, entries: DataFrame, k: int = 2) -> DataFrame:
     if total > HOT_LEAST and not hot.isEmpty():
         hot = F.broadcast(hot)
         copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_COPIES - 1))).otherwise(F.array(F.lit(0)))
-        index = index.join(hot, "shard", "left").select(F.concat_ws("#", "shard", F.explode(copies).cast("string")).alias("shard"), "query", "s")
+        index = index.join(hot, "shard", "left").select("shard", "query", "s", F.explode(copies).alias("copy")).select(F.concat_ws("#", "shard", F.col("copy").cast("string")).alias("shard"), "query", "s")
         salt = F.when(F.col("hot"), F.expr(f"pmod(xxhash64(s), {HOT_COPIES})")).otherwise(F.lit(0))
         ask = ask.join(hot, "shard", "left").select(F.concat_ws("#", "shard", salt.cast("string")).alias("shard"), "query", "s")
     rows = index.unionByName(ask).repartition(parallelism(spark), "shard").sortWithinPartitions("shard", "query")
