@@ -74,34 +74,57 @@ def segments(text: str) -> list[str]:
     return out
 
 
-def classes(segment: str, function: frozenset[str], known: frozenset[str], memory: deque) -> list[str]:
-    """The class sequence of a segment; ``memory`` holds the content words read last."""
-    out, n_words, n_function = [], 0, 0
-    if sum(map(str.isupper, segment)) > 0.5 * len(segment):  # shouted, not names
-        segment = segment.lower()
-    for m in _TOKEN.finditer(segment):
-        kind = m.lastgroup
-        if kind == "W":
-            n_words += 1
-            w = m[0].lower()
-            if w in function:
-                n_function += 1
-                out.append(w)
-                continue
-            if w in memory:
-                out.append("R")
+class Reader:
+    """Turns segments into class sequences; what a run of characters between blanks consists of is found once and kept."""
+
+    def __init__(self, function: frozenset[str], known: frozenset[str]):
+        self.function, self.known = function, known
+        self.parts: dict[str, list[tuple[str, str | None]]] = {}
+
+    def _parts(self, run: str) -> list[tuple[str, str | None]]:
+        """(class, content word or None) of the tokens of a run without blanks."""
+        out: list[tuple[str, str | None]] = []
+        for m in _TOKEN.finditer(run):
+            kind = m.lastgroup
+            if kind == "W":
+                w = m[0].lower()
+                if w in self.function:
+                    out.append((w, None))
+                    continue
+                prose = w in self.known or ("-" in w or "'" in w or "’" in w) and all(x in self.known for x in _LETTERS.findall(w))
+                out.append((("K" if prose else "X") if m[0][0].isupper() else "k" if prose else "x", w))
+            elif kind == "H":
+                out.append(("H", m[0][1:].lower()))
             else:
-                prose = w in known or ("-" in w or "'" in w or "’" in w) and all(x in known for x in _LETTERS.findall(w))
-                out.append(("K" if prose else "X") if m[0][0].isupper() else "k" if prose else "x")
-            memory.append(w)
-        elif kind == "H":
-            out.append("H")
-            memory.append(m[0][1:].lower())
-        else:
-            out.append(m[0] if kind == "P" else kind)
-    if out:
-        out.append("$" if n_words < 4 or n_function >= 0.15 * n_words else "$few" if n_function else "$none")
-    return out
+                out.append((m[0] if kind == "P" else kind, None))
+        if len(self.parts) > 300_000:
+            self.parts.clear()
+        self.parts[run] = out
+        return out
+
+    def classes(self, segment: str, memory: deque) -> list[str]:
+        """The class sequence of a segment; ``memory`` holds the content words read last."""
+        out, n_words, n_function = [], 0, 0
+        if sum(map(str.isupper, segment)) > 0.5 * len(segment):  # shouted, not names
+            segment = segment.lower()
+        parts = self.parts
+        for run in segment.split():
+            for c, word in parts.get(run) or self._parts(run):
+                if word is None:
+                    if len(c) > 1 or c.isalpha() and c not in "UCN":  # a function word
+                        n_words += 1
+                        n_function += 1
+                    out.append(c)
+                elif c == "H":
+                    out.append(c)
+                    memory.append(word)
+                else:
+                    n_words += 1
+                    out.append("R" if word in memory else c)
+                    memory.append(word)
+        if out:
+            out.append("$" if n_words < 4 or n_function >= 0.15 * n_words else "$few" if n_function else "$none")
+        return out
 
 
 class Model:
@@ -173,6 +196,7 @@ def _count_words(function):
 
 def _count_trigrams(function, known):
     def run(batches):
+        reader = Reader(function.value, known.value)
         for pdf in batches:
             counts: Counter = Counter()
             for text in pdf["text"]:
@@ -181,7 +205,7 @@ def _count_trigrams(function, known):
                 memory: deque = deque(maxlen=MEMORY)
                 for s in segments(text):
                     a = b = BEGIN
-                    for c in classes(s, function.value, known.value, memory):
+                    for c in reader.classes(s, memory):
                         counts[a, b, c] += 1
                         a, b = b, c
             yield pd.DataFrame([(a, b, c, n) for (a, b, c), n in counts.items()], columns=["a", "b", "c", "n"]).astype({"n": "int64"})
@@ -191,14 +215,14 @@ def _count_trigrams(function, known):
 
 def _score(function, known, model):
     def run(batches):
-        m = model.value
+        m, reader = model.value, Reader(function.value, known.value)
         for pdf in batches:
             rows = []
             for d, text in zip(pdf["doc_id"], pdf["text"]):
                 prose = is_prose(_LETTERS.findall(text.lower()), function.value)
                 memory: deque = deque(maxlen=MEMORY)
                 for s in segments(text):
-                    if seq := classes(s, function.value, known.value, memory):
+                    if seq := reader.classes(s, memory):
                         rows.append((d, len(s), m.score(seq), prose and seq[-1] == "$" and len(seq) > LEAST_WORDS))
             yield pd.DataFrame(rows, columns=["doc_id", "chars", "score", "prose"]).astype({"doc_id": "int64", "chars": "int64", "score": "float64", "prose": "bool"})
 
