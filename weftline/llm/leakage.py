@@ -167,8 +167,8 @@ class Items:
             seen[(k & np.uint64(size - 1)).astype(np.int64)] = True
             self.tables[w] = (k[order], o[order], p[order], seen)
 
-    def candidates(self, h: np.ndarray, doc_of: np.ndarray) -> list[tuple[int, int, int, int]]:
-        """(document index, item, begin, end) of stretches of h whose shared keys cover enough of an item.
+    def candidates(self, h: np.ndarray, doc_of: np.ndarray) -> list[tuple[int, int, int, int, int, int]]:
+        """(document index, item, begin, end, least and greatest diagonal) of stretches of h whose shared keys cover enough of an item.
 
         Enough is LEAST_COVER of what a passage needs; windows that hold a changed word may be missed.
         """
@@ -203,18 +203,27 @@ class Items:
             need = np.array([LEAST_SHARE * LEAST_COVER * len(self.items[int(x)]) for x in item[edge]])
             for x in np.flatnonzero(cover >= need).tolist():
                 e, f = int(edge[x]), int(edge[x + 1]) if x + 1 < len(edge) else len(j)
-                out.append((int(d[e]), int(item[e]), int(j[e:f].min()), int(j[e:f].max()) + w))
+                near = j[e:f] - p[e:f]
+                out.append((int(d[e]), int(item[e]), int(j[e:f].min()), int(j[e:f].max()) + w, int(near.min()), int(near.max())))
         return out
 
     def leaks(self, h: np.ndarray, doc_of: np.ndarray, first: dict[int, tuple[int, int]]) -> set[tuple[int, int]]:
         """(document index, item) of verified leaks."""
         found = set()
-        for d, item, lo, hi in self.candidates(h, doc_of):
+        for d, item, lo, hi, low, high in self.candidates(h, doc_of):
             if (d, item) in found:
                 continue
             body = self.items[item]
             n = len(body)
             a, b = first[d]
+            # A passage matches most of its words on diagonals close to those of its keys: count them first.
+            met = np.zeros(n, dtype=bool)
+            for diagonal in range(low - 3, high + 4):
+                x, y = max(0, a - diagonal), min(n, b - diagonal)
+                if x < y:
+                    met[x:y] |= body[x:y] == h[x + diagonal : y + diagonal]
+            if met.sum() < LEAST_SHARE * LEAST_COVER * n:
+                continue
             span, errors = passage(body, h[max(a, lo - n - DRIFT) : min(b, hi + n + DRIFT)])
             if span >= LEAST_SHARE * n and errors <= MOST_CHANGED * span:
                 found.add((d, item))
