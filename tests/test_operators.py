@@ -224,3 +224,20 @@ def test_passes_and_registry(spark):
     df = spark.createDataFrame([(1, "a"), (2, "bb")], "k int, c string")
     out = registry.extract_with(df, "k", "c", lambda xs: [[(len(x),)] if len(x) > 1 else ValueError("short") for x in xs], "n int").orderBy("k").collect()
     assert out[0].reason == "ValueError: short" and out[1].n == 2
+
+
+def test_topics_and_work_packages():
+    t = '<task id="t"><title>Do</title><shortdesc>s</shortdesc><taskbody><steps><step><cmd>one</cmd></step><step><cmd>two <xref href="u#x"/></cmd></step></steps></taskbody><topic id="n"><title>In</title></topic></task>'
+    f = D.topic_facts(t)
+    assert ("t", "step/1", "two") in f and ("t", "child", "n") in f and ("t", "title", "Do") in f and ("n", "title", "In") in f and ("t", "link", "u#x") in f and ("t", "title", "In") not in f
+    w = D.work_package_facts('<maintwp wpno="M0001-9-1"><title>Fix</title><tools><name>Saw</name></tools><warning>Hot</warning><proc><step1>a</step1><step1>b</step1></proc></maintwp>')
+    assert w[0] == ("m0001-9-1", "type", "maintwp") and ("m0001-9-1", "step/1", "b") in w and ("m0001-9-1", "tool", "Saw") in w
+    for bad in ("<x/>", "<task/>"):
+        with pytest.raises(ValueError):
+            D.topic_facts(bad)
+
+
+def test_rows_under_captions(spark):
+    rows = [(1, 0.0, "lead", False), (1, 10.0, "Parts", True), (1, 20.0, "a", False), (1, 30.0, "b", False), (1, 90.0, "c", False), (1, 95.0, "d", False), (1, 100.0, "More", True), (1, 110.0, "e", False)]
+    df = spark.createDataFrame(rows, "page int, y double, text string, is_caption boolean")
+    assert {r.text: r.caption for r in trust.rows_under_captions(df, "page", 25.0).collect()} == {"lead": None, "a": "Parts", "b": "Parts", "c": None, "d": None, "e": "More"}

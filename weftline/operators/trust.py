@@ -183,3 +183,17 @@ def completed_boxes(boxes: DataFrame, words: DataFrame, page: str, slack: float
     right = tall & (F.col("wx1") < F.col("x2") - slack) & (F.col("wx2") > F.col("x2") + slack)
     g = j.groupBy(page, "box_id", "x1", "x2").agg(F.min(F.when(left, F.col("wx1"))).alias("l"), F.max(F.when(right, F.col("wx2"))).alias("r"), F.count_if(left | right).alias("cut"))
     return g.select(page, "box_id", F.greatest(F.coalesce("l", "x1"), F.col("x1") - most).alias("x1"), F.least(F.coalesce("r", "x2"), F.col("x2") + most).alias("x2"), "cut")
+
+
+def rows_under_captions(lines: DataFrame, page: str, most_gap: float) -> DataFrame:
+    """(page, y, text, caption): lines with the caption whose block they belong to.
+
+    ``lines``: (page, y, text, is_caption). A block goes from a caption down to the first gap of more than
+    ``most_gap`` or the next caption; lines outside every block have a null caption.
+    """
+    w = f"(PARTITION BY {page} ORDER BY y, text)"
+    far = F.col("y") - F.expr(f"lag(y) OVER {w}") > most_gap
+    d = lines.withColumn("_b", F.expr(f"sum(CASE WHEN is_caption THEN 1 ELSE 0 END) OVER {w}")).withColumn("_f", far & ~F.col("is_caption"))
+    b = f"(PARTITION BY {page}, _b ORDER BY y, text)"
+    d = d.withColumn("_broken", F.expr(f"coalesce(bool_or(_f) OVER {b}, false)")).withColumn("_c", F.expr(f"max(CASE WHEN is_caption THEN text END) OVER {b}"))
+    return d.filter("NOT is_caption").select(page, "y", "text", F.when(~F.col("_broken"), F.col("_c")).alias("caption"))

@@ -309,6 +309,58 @@ def xml_facts(text: str) -> list[tuple[str, str, str]]:
     return out
 
 
+def topic_facts(text: str) -> list[tuple[str, str, str]]:
+    """(subject, predicate, object) of a topic or task: title, short description, steps in order, notes, tables' cells and links.
+
+    The subject is the topic's id; nested topics are subjects of their own, children of the outer one.
+    """
+    root = ElementTree.fromstring(text)
+    for e in root.iter():
+        e.tag = e.tag.rpartition("}")[2]
+    kinds = ("topic", "concept", "task", "reference")
+    words = lambda e: " ".join("".join(e.itertext()).split())
+    out: list[tuple[str, str, str]] = []
+
+    def walk(t, parent):
+        sid = t.get("id") or ""
+        if not sid:
+            raise ValueError("a topic has no id")
+        out.append((sid, "type", t.tag))
+        if parent:
+            out.append((parent, "child", sid))
+        inner = [c for c in t if c.tag in kinds]
+        own = [e for c in t if c.tag not in kinds for e in c.iter()]
+        out.extend((sid, "title", words(e)) for e in own if e.tag == "title" and e in list(t))
+        out.extend((sid, "summary", words(e)) for e in own if e.tag == "shortdesc")
+        out.extend((sid, f"step/{i}", words(e)) for i, e in enumerate(x for x in own if x.tag == "cmd"))
+        out.extend((sid, "note", words(e)) for e in own if e.tag == "note")
+        out.extend((sid, "link", e.get("href")) for e in own if e.tag in ("xref", "link") and e.get("href"))
+        for c in inner:
+            walk(c, sid)
+
+    if root.tag not in kinds:
+        raise ValueError(f"{root.tag} is no topic")
+    walk(root, None)
+    return out
+
+
+def work_package_facts(text: str) -> list[tuple[str, str, str]]:
+    """(subject, predicate, object) of a work package: number, tag, title, tools, parts, warnings and steps in order."""
+    root = ElementTree.fromstring(text)
+    for e in root.iter():
+        e.tag = e.tag.rpartition("}")[2].lower()
+    number = root.get("wpno") or next((e.get("wpno") for e in root.iter() if e.get("wpno")), None)
+    if not number:
+        raise ValueError("no work package number")
+    words = lambda e: " ".join("".join(e.itertext()).split())
+    wp = number.lower()
+    out = [(wp, "type", root.tag)]
+    out += [(wp, "title", words(e)) for e in root.iter("title")][:1]
+    for tag, p in (("name", "tool"), ("partno", "part"), ("warning", "warning"), ("caution", "caution")):
+        out += [(wp, p, words(e)) for e in root.iter(tag)]
+    return out + [(wp, f"step/{i}", words(e)) for i, e in enumerate(root.iter("step1"))]
+
+
 def chunks_of_triples(triples: list[tuple[str, str, str]], least: int = 20) -> list[tuple[str, int, str]]:
     """(subject, order, text): title, then steps in order, warnings and figures, then other literals of ``least`` characters."""
     rank = {"title": 0, "step": 1, "warning": 2, "figure": 3}
