@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from ..operators.components import connected_components
 from ..session import materialize, parallelism, table
-from .spread import spread
 from .textdist import osa
 from .triejoin import trie_join
 
@@ -168,7 +167,7 @@ def link_names(names: DataFrame) -> DataFrame:
     spark = names.sparkSession
     distinct = names.select("mfr").filter("mfr IS NOT NULL").distinct()
     pid = F.md5(F.concat_ws("\x1f", "form", F.coalesce("given", F.lit("-")), "w1", F.coalesce("w2", F.lit("-")), F.coalesce("trade", F.lit("-"))))
-    parsed = materialize(spread(distinct, parallelism(spark)).mapInPandas(_parse_batches, SCHEMA).withColumn("pid", pid), "parsed")
+    parsed = materialize(distinct.repartition(parallelism(spark)).mapInPandas(_parse_batches, SCHEMA).withColumn("pid", pid), "parsed")
     profiles = materialize(parsed.drop("mfr").distinct().withColumn("k1", F.concat("w1", F.coalesce("w2", F.lit("")))).withColumn("k2", F.concat(F.coalesce("w2", F.lit("")), "w1")), "profiles")
     keyed = profiles.filter("form IN ('full', 'joined')")
     orders = materialize(keyed.withColumn("e", F.explode(F.array_distinct(F.array("k1", "k2")))).select("pid", "e", "given", "trade"), "orders")

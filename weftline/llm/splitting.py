@@ -94,12 +94,12 @@ def split_texts(texts: DataFrame) -> DataFrame:
     """
     big = texts.filter("content IS NOT NULL AND max_chars IS NOT NULL AND length(content) > max_chars")
     big = big.select(F.col("section_id").cast("long"), "content", "max_chars", F.coalesce("overlap_chars", F.lit(0)).alias("overlap_chars"))
-    return spread(big, parallelism(texts.sparkSession)).mapInPandas(_split_batches, _PIECES)
+    return big.mapInPandas(_split_batches, _PIECES)
 
 
 def limited_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sections with the limits of their domain (a section without a known domain has none)."""
-    s = table(spark, sf_dir, "base_sections").select("section_id", "domain", "content")
+    s = spread(table(spark, sf_dir, "base_sections").select("section_id", "domain", "content"), parallelism(spark))
     return s.join(table(spark, sf_dir, "split_limits").select("domain", "max_chars", "overlap_chars"), "domain")
 
 

@@ -9,6 +9,7 @@ def spread(df: DataFrame, parts: int) -> DataFrame:
     """``df``, repartitioned only where its scan has fewer partitions than ``parts``.
 
     Such an input is smaller than ``parts`` file splits, so the shuffle is bounded; a large input
-    already has enough splits and is left as it is.
+    already has enough splits and is left as it is. ``df`` must be a scan with narrow steps: counting the
+    partitions of a plan with shuffles would run them.
     """
     return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
