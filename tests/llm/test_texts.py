@@ -214,6 +214,15 @@ def test_scanned_pages(spark):
     assert scans.repair_content(df.limit(0)).count() == 0
 
 
+def test_reprinted_books_have_no_more_furniture(spark):
+    df, want = book(spark)
+    prints = df
+    for k in range(1, 6):
+        prints = prints.unionByName(df.selectExpr(f"section_id + {k * 100_000} AS section_id", f"package_id || '-{k}' AS package_id", "content"))
+    got = {tuple(r) for r in scans.repair_content(prints).filter("row_id < 100000 AND noise IN ('header', 'page_no')").collect()}
+    assert got == {r for r in want if r[2] in ("header", "page_no")}
+
+
 def test_rebuilt_paragraphs():
     text = "Head 1\nthe sl-\neeve, and a\nrnotor spins.\n\nNext."
     got = scans.rebuilt(text, [(0, "header", ""), (1, "hyphen", "sleeve"), (3, "char", "motor")])

@@ -111,7 +111,9 @@ def with_repetition(lines: DataFrame) -> DataFrame:
     texts = lines.select("package_id", "key", "content_key").distinct()
     sizes = lines.select("package_id", "content_key").distinct().groupBy("package_id").agg(F.count("*").alias("sections"))
     per = texts.groupBy("package_id", "key").agg(F.count("*").alias("n_sections"))
-    books = per.groupBy("key").agg(F.count("*").alias("books"))
+    # A section that several books hold unchanged counts for the first of them only: a reprint is no running line.
+    homes = texts.groupBy("key", "content_key").agg(F.min("package_id").alias("home"))
+    books = homes.groupBy("key").agg(F.countDistinct("home").alias("books"))
     stats = per.join(books, "key").join(sizes, "package_id").withColumn("share", F.col("n_sections") / F.col("sections"))
     return lines.join(stats, ["package_id", "key"])
 
