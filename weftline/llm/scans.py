@@ -35,6 +35,8 @@ from .textdist import osa
 SAMPLE = 6000
 #: A book is a scan if text flows on across so large a share of its line ends.
 WRAPPED = 0.2
+#: A line is common to books if it stands in so many of them and in this share of all; sentences that recur are not.
+COMMON_BOOKS, COMMON_SHARE = 3, 0.05
 #: A word is trusted at this rate of all words (so there are at most 1 / rate of them), and at this count.
 TRUST_RATE, TRUST_LEAST = 2e-6, 4
 #: A candidate must be so many times as frequent as the word it replaces.
@@ -103,26 +105,29 @@ def scanned(lines: DataFrame) -> DataFrame:
     return runs.filter((F.col("open") >= WRAPPED * F.col("n")) & (F.col("longest") <= 120)).select("package_id")
 
 
-FURNITURE = ["share", "n_sections", "books", "first", "flows", "upper_start", "stopped", "title_share", "numbered", "width"]
+FURNITURE = ["share", "n_lines", "book_share", "first", "flows", "upper_start", "stopped", "title_share", "numbered", "width"]
 
 
 def with_repetition(lines: DataFrame) -> DataFrame:
     """``lines`` with the share of the book's different sections that hold the line's key, and the books that do."""
-    texts = lines.select("package_id", "key", "content_key").distinct()
+    at = lines.select("package_id", "key", "content_key", "line_no").distinct()
+    texts = at.groupBy("package_id", "key", "content_key").agg(F.count("*").alias("times"))
     sizes = lines.select("package_id", "content_key").distinct().groupBy("package_id").agg(F.count("*").alias("sections"))
-    per = texts.groupBy("package_id", "key").agg(F.count("*").alias("n_sections"))
+    per = texts.groupBy("package_id", "key").agg(F.count("*").alias("n_sections"), F.sum("times").alias("n_lines"))
     # A section that several books hold unchanged counts for the first of them only: a reprint is no running line.
     homes = texts.groupBy("key", "content_key").agg(F.min("package_id").alias("home"))
     books = homes.groupBy("key").agg(F.countDistinct("home").alias("books"))
+    all_books = texts.groupBy("content_key").agg(F.min("package_id").alias("home")).agg(F.countDistinct("home")).first()[0] or 1
     stats = per.join(books, "key").join(sizes, "package_id").withColumn("share", F.col("n_sections") / F.col("sections"))
+    stats = stats.withColumn("book_share", F.when(F.col("books") >= COMMON_BOOKS, F.col("books") / all_books).otherwise(0.0))
     return lines.join(stats, ["package_id", "key"])
 
 
 def furniture_model(lines: DataFrame) -> Booster:
     """A classifier of running lines, fitted on lines whose repetition or shape alone tells what they are."""
     sure_yes = F.col("first") & (F.col("share") >= 0.7) & (F.col("sections") >= 3) & ~F.col("stopped") & (F.col("title_share") >= 0.5)
-    sure_yes = sure_yes | ((F.col("books") >= 4) & (F.col("title_share") > 0) & ~F.col("stopped") & F.col("upper_start") & (F.col("key") != "")) | (F.col("flows") & (F.col("share") >= 0.3) & (F.col("sections") >= 4) & F.col("upper_start"))
-    sure_no = F.col("stopped") | ~F.col("upper_start") | ((F.col("n_sections") == 1) & (F.col("books") == 1) & ~F.col("first") & ~F.col("flows"))
+    sure_yes = sure_yes | ((F.col("book_share") >= COMMON_SHARE) & (F.col("title_share") > 0) & ~F.col("stopped") & F.col("upper_start") & (F.col("key") != "")) | (F.col("flows") & (F.col("share") >= 0.3) & (F.col("sections") >= 4) & F.col("upper_start"))
+    sure_no = F.col("stopped") | ~F.col("upper_start") | ((F.col("n_lines") == 1) & (F.col("book_share") < COMMON_SHARE) & ~F.col("first"))
     labelled = lines.withColumn("y", F.when(sure_yes & ~sure_no, 1).when(sure_no & ~sure_yes, 0)).filter("y IS NOT NULL")
     # A bounded sample by hash, the same whatever the partitioning.
     h = F.expr("xxhash64(package_id, section_id, line_no)")
@@ -140,8 +145,10 @@ def classified_lines(lines: DataFrame) -> DataFrame:
     @F.pandas_udf("string")
     def kind(text: pd.Series, *features: pd.Series) -> pd.Series:
         p = model.value.score(np.column_stack([f.astype(float).to_numpy() for f in features]))
-        alone = (features[1] <= 1).to_numpy() & (features[2] <= 1).to_numpy()
-        return pd.Series(["page_no" if is_page_number(t) else "header" if x > 0.5 and not a else "text" for t, x, a in zip(text, p, alone)])
+        _, n, common, first, _, _, stopped = (f.astype(float).to_numpy() for f in features[:7])
+        # What stands once in its book and is not common to books runs nowhere, unless it heads its page; sentences end, running lines do not.
+        never = (first == 0) & ((n <= 1) & (common < COMMON_SHARE) | (stopped > 0))
+        return pd.Series(["page_no" if is_page_number(t) else "header" if x > 0.5 and not a else "text" for t, x, a in zip(text, p, never)])
 
     return known.withColumn("kind", kind("text", *FURNITURE)).select("section_id", "line_no", "text", "kind")
 
