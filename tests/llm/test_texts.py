@@ -126,6 +126,33 @@ def test_alignment_of_a_passage():
     assert span == 15 and errors <= 2
 
 
+@pytest.mark.parametrize("share", (1 / 3, 0.36, 0.4))
+def test_least_passages_with_errors_up_to_their_edges_are_leaks(share):
+    rng = random.Random(11)
+    found = 0
+    for k in range(60):
+        n = (45, 60, 90)[k % 3]
+        item = rng.sample(WORDS, n)
+        size = -int(-n * share // 1)
+        a = rng.randrange(n - size + 1)
+        part = item[a : a + size]
+        spots = rng.sample(range(1, size - 1), size // 10) if k % 2 else [1, size - 2, size // 2][: size // 10]
+        for x in spots:
+            part[x] = rng.choice(("other", part[x] + " extra", part[x] + "x"))
+        body = [rng.choice(WORDS) for _ in range(150)]
+        body[70:70] = part
+        h = leakage.Hasher()(leakage.words(" ".join(body)))
+        found += leakage.Items([(1, " ".join(item))]).leaks(h, np.zeros(len(h), dtype=np.int64), {0: (0, len(h))}) == {(0, 1)}
+    assert found >= 58
+
+
+def test_shorter_quotation_is_no_leak():
+    item = WORDS[:60]
+    for size, want in ((20, {(0, 1)}), (18, set())):
+        h = leakage.Hasher()([*WORDS[100:150], *item[10 : 10 + size], *WORDS[200:250]])
+        assert leakage.Items([(1, " ".join(item))]).leaks(h, np.zeros(len(h), dtype=np.int64), {0: (0, len(h))}) == want
+
+
 def test_long_document_is_read_whole(spark):
     items, _, _ = planted()
     text = " ".join(WORDS[i % 4000] for i in range(60_000)) + " " + items[3][1]

@@ -14,6 +14,7 @@ never shuffled and nothing is collected but the items themselves.
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections import defaultdict
@@ -37,6 +38,8 @@ LEAST_SHARE, MOST_CHANGED = 1 / 3, 0.15
 LEAST_COVER, DRIFT = 0.75, 8
 #: Items in one broadcast block and words of one batch: bounds on memory, not on the work done.
 BLOCK_ITEMS, BATCH_WORDS = 5000, 24_000
+#: Begins of a passage that are aligned together: a bound on memory.
+BEGINS = 128
 _INNER = re.compile(r"[\W_]+")
 _PAD = np.uint64(0x9E3779B97F4A7C15)
 _RNG = np.random.default_rng(20_240_607)
@@ -107,35 +110,48 @@ def window_keys(h: np.ndarray, window: int) -> np.ndarray:
     return keys
 
 
-def passage(item: np.ndarray, doc: np.ndarray, penalty: int = 3) -> tuple[int, int]:
-    """(words of the item in the best-aligned passage, errors in it) by an exact local alignment.
+def passage(item: np.ndarray, doc: np.ndarray, share: float = MOST_CHANGED, enough: float = np.inf) -> tuple[int, int]:
+    """(words of the item in the longest passage, errors in it) by an exact alignment from every begin.
 
-    A matching word scores 1, a changed, added or dropped one -penalty. Scores carry the item position
-    at which the passage began (a smaller one, thus the longer passage, wins a tie).
+    A passage begins and ends with a word that matches; at most ``share`` of its words of the item are
+    changed, added or dropped. Among the longest the one with the fewest errors counts; the first of
+    ``enough`` words ends the search.
     """
-    n = len(item)
-    unit = 1 << 24
-    m = len(doc)
-    ramp = np.arange(m + 1, dtype=np.int64) * (penalty * unit)
-    prev = np.full(m + 1, n + 1, dtype=np.int64)  # score 0, to begin at item position 0: n + 1 - 0
-    best = (0, 0, 0)
-    for i in range(n):
-        fresh = n + 1 - i
-        eq = np.where(doc == item[i], unit, -penalty * unit)
-        row = np.empty(m + 1, dtype=np.int64)
-        row[0] = fresh - 1
-        np.maximum(np.maximum(prev[:-1], fresh) + eq, prev[1:] - penalty * unit, out=row[1:])
-        row = np.maximum.accumulate(row + ramp) - ramp
-        row = np.where(row < unit, fresh - 1, row)
-        j = int(row.argmax())
-        top = int(row[j])
-        score = top // unit
-        if score > best[0]:
-            best = (score, n + 1 - top % unit, i + 1)
-        prev = row
-    score, begin, end = best
-    span = end - begin if score else 0
-    return span, max(0, -(-(span - score) // (1 + penalty)))
+    n, m = len(item), len(doc)
+    ramp = np.arange(m + 1, dtype=np.int32)
+    far = np.int32(n + m + 1)
+    best = (0, 0)
+    for block in range(0, n, BEGINS):
+        # One row for each begin that is still within its errors: the least errors up to each word of the document.
+        begin, errors = np.empty(0, dtype=np.int64), np.empty((0, m + 1), dtype=np.int32)
+        for i in range(block, n):
+            hit = doc == item[i]
+            ends = np.where(hit, errors[:, :-1], far).min(axis=1, initial=far)
+            span = i + 1 - begin
+            for x in np.flatnonzero(ends <= share * span).tolist():
+                best = max(best, (int(span[x]), -int(ends[x])))
+            if best[0] >= enough:
+                return best[0], -best[1]
+            row = np.full_like(errors, far)
+            np.minimum(errors[:, :-1] + ~hit, errors[:, 1:] + 1, out=row[:, 1:])
+            if i < block + BEGINS and hit.any():
+                best = max(best, (1, 0))
+                begin = np.append(begin, i)
+                row = np.vstack([row, np.append(far, np.where(hit, 0, far)).astype(np.int32)])
+            row = np.minimum.accumulate(row - ramp, axis=1) + ramp
+            live = row.min(axis=1, initial=far) <= share * (n - begin)
+            begin, errors = begin[live], row[live]
+            if not len(begin) and i >= block + BEGINS - 1:
+                break
+    return best[0], -best[1]
+
+
+def may_hold(item: np.ndarray, doc: np.ndarray, least: int) -> bool:
+    """Whether enough words of some ``least`` or more in a row of the item occur in the document at all, which every passage needs."""
+    if len(item) < least:
+        return False
+    spare = np.append(0.0, np.cumsum(np.isin(item, doc) - (1 - MOST_CHANGED)))
+    return bool((spare[least:] - np.minimum.accumulate(spare[: len(spare) - least]) >= -1e-6).any())
 
 
 class Items:
@@ -216,16 +232,23 @@ class Items:
             body = self.items[item]
             n = len(body)
             a, b = first[d]
+            least = math.ceil(LEAST_SHARE * n)
             # A passage matches most of its words on diagonals close to those of its keys: count them first.
-            met = np.zeros(n, dtype=bool)
+            met, plain = np.zeros(n, dtype=bool), False
             for diagonal in range(low - 3, high + 4):
                 x, y = max(0, a - diagonal), min(n, b - diagonal)
                 if x < y:
-                    met[x:y] |= body[x:y] == h[x + diagonal : y + diagonal]
+                    same = body[x:y] == h[x + diagonal : y + diagonal]
+                    met[x:y] |= same
+                    # A least passage with changed words only shows on one diagonal and needs no alignment.
+                    if y - x >= least:
+                        sums = np.append(0, np.cumsum(same))
+                        few = least - (sums[least:] - sums[:-least]) <= MOST_CHANGED * least
+                        plain = plain or bool((few & same[: len(few)] & same[least - 1 :]).any())
             if met.sum() < LEAST_SHARE * LEAST_COVER * n:
                 continue
-            span, errors = passage(body, h[max(a, lo - n - DRIFT) : min(b, hi + n + DRIFT)])
-            if span >= LEAST_SHARE * n and errors <= MOST_CHANGED * span:
+            near = h[max(a, lo - n - DRIFT) : min(b, hi + n + DRIFT)]
+            if plain or may_hold(body, near, least) and passage(body, near, enough=LEAST_SHARE * n)[0] >= LEAST_SHARE * n:
                 found.add((d, item))
         return found
 
