@@ -241,3 +241,28 @@ def test_rows_under_captions(spark):
     rows = [(1, 0.0, "lead", False), (1, 10.0, "Parts", True), (1, 20.0, "a", False), (1, 30.0, "b", False), (1, 90.0, "c", False), (1, 95.0, "d", False), (1, 100.0, "More", True), (1, 110.0, "e", False)]
     df = spark.createDataFrame(rows, "page int, y double, text string, is_caption boolean")
     assert {r.text: r.caption for r in trust.rows_under_captions(df, "page", 25.0).collect()} == {"lead": None, "a": "Parts", "b": "Parts", "c": None, "d": None, "e": "More"}
+
+
+def test_every_record_has_its_concept_id(spark, tmp_path):
+    import hashlib
+    import unicodedata
+
+    from weftline.plans import concepts as plans
+
+    rows = [(1, "TRAINING", "Torque  Control", None), (2, "training ", "ＴＯＲＱＵＥ\u00a0control", None), (3, "TRAINING", "Prüfmaß", None), (4, "TRAINING", "Pru\u0308fmass", None), (5, "TRAINING", "ﬂange “A”", "x"), (6, "TRAINING", None, "Flange"), (7, "TRAINING", None, None), (8, None, "a", None), (9, "A-B", "a", None), (10, "A_B", "a", None)]
+    spark.createDataFrame(rows, "record_id long, domain string, name string, name_normalized string").write.parquet(str(tmp_path / "concept_records.parquet"))
+    got = {r.record_id: (r.norm, r.concept_id) for r in plans.record_concept_ids(spark, str(tmp_path)).collect()}
+
+    def want(domain, name):
+        norm = " ".join(unicodedata.normalize("NFKC", name or "").split()).casefold()
+        return norm, "concept_" + hashlib.sha256(f"{' '.join((domain or '').split()).upper()}␟{norm}".encode()).hexdigest()[:16]
+
+    assert got == {i: want(d, n if n is not None else m) for i, d, n, m in rows}
+    assert got[1] == got[2] and got[3] == got[4] and len({x for _, x in got.values()}) == 8
+
+
+def test_concept_ids_are_part_of_all(spark, small):
+    from weftline.plans import concepts as plans
+
+    plain, every = ({tuple(r) for r in f(spark, small).collect()} for f in (plans.concept_ids, plans.record_concept_ids))
+    assert plain < every and len(every) == spark.read.parquet(f"{small}/concept_records.parquet").count()

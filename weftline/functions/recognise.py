@@ -29,7 +29,7 @@ def concept_name(c: Column | str) -> Column:
 
 
 def concept_id(domain: Column | str, name: Column | str) -> Column:
-    return F.concat(F.lit("concept_"), F.left(F.sha2(F.concat_ws("␟", F.upper(F.trim(F.regexp_replace(X.col(domain), r"[^A-Za-z0-9_]+", "_"))), concept_name(name)), 256), F.lit(16)))
+    return F.concat(F.lit("concept_"), F.left(F.sha2(F.concat_ws("␟", F.upper(F.trim(F.regexp_replace(X.col(domain), r"\s+", " "))), concept_name(name)), 256), F.lit(16)))
 
 
 def composite_parts(c: Column | str) -> Column:

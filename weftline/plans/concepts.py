@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import recognise as R
 from ..functions import text as X
 from ..operators import concepts as C
 from ..session import materialize, table
@@ -72,12 +73,18 @@ def packed_section_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def concept_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Concept ids from domain and plain normalised names (ASCII names only; others need presentation folding)."""
+    """Concept ids from domain and plain normalised names: the ASCII part of record_concept_ids, which SQL can check."""
     c = table(spark, sf_dir, "concept_records").filter(F.coalesce("name", "name_normalized").rlike(r"^[\x20-\x7e]*$"))
     norm = X.squeeze(F.lower(F.coalesce("name", "name_normalized")))
     return c.select("record_id", norm.alias("norm"), F.concat(F.lit("concept_"), F.left(F.sha2(F.concat_ws("␟", F.upper("domain"), norm), 256), F.lit(16))).alias("concept_id"))
 
 
+def record_concept_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The concept id and the folded name of every record; a record without any name has the empty name."""
+    c, name = table(spark, sf_dir, "concept_records"), F.coalesce("name", "name_normalized", F.lit(""))
+    return c.select("record_id", R.concept_name(name).alias("norm"), R.concept_id(F.coalesce("domain", F.lit("")), name).alias("concept_id"))
+
+
 def duplicate_survivors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of concept records with one id, the one with most slides survives."""
     c = table(spark, sf_dir, "concept_records").select("id", "record_id", F.size(F.coalesce("slides", F.array())).alias("degree"))
@@ -90,7 +97,7 @@ def teach_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("record_id", F.size(F.array_distinct(F.coalesce("slides", F.array()))).alias("n_slides"), F.size(F.array_distinct(F.coalesce("courses", F.array()))).alias("n_courses"), F.array_join(F.array_sort(F.array_distinct(F.coalesce("related_terms", F.array()))), "|").alias("terms"))
 
 
-QUERIES = {f.__name__: f for f in (concept_inventory, concept_alignment, mutual_concept_links, blocked_candidates, proposal_topn, slide_section_rollup, section_summaries, deepest_section, section_call_runs, packed_section_calls, concept_ids, duplicate_survivors, teach_counts)}
+QUERIES = {f.__name__: f for f in (concept_inventory, concept_alignment, mutual_concept_links, blocked_candidates, proposal_topn, slide_section_rollup, section_summaries, deepest_section, section_call_runs, packed_section_calls, concept_ids, record_concept_ids, duplicate_survivors, teach_counts)}
 
 _KEY = "trim(regexp_replace(lower({0}), '[^\\p{{L}}\\p{{Nd}}]+', ' ', 'g'))"
 _E = f"e AS (SELECT DISTINCT * FROM (SELECT {_KEY.format('name')} AS key, {_KEY.format('t')} AS t FROM (SELECT name, unnest(related_terms) AS t FROM slide_concepts)) WHERE key <> '' AND t <> '' AND key <> t)"
