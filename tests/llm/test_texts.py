@@ -250,6 +250,14 @@ def test_reprinted_books_have_no_more_furniture(spark):
     assert got == {r for r in want if r[2] in ("header", "page_no")}
 
 
+def test_one_long_line_leaves_a_book_a_scan(spark):
+    df, want = book(spark)
+    long = spark.createDataFrame([(8000, "p3", f"Table 1 {'| 17 bar ' * 30}\nThe end."), (8001, None, "One paragraph " + "that is not wrapped " * 20)], df.schema)
+    loose = df.filter("package_id = 'p3' AND section_id = 304").selectExpr("8002L AS section_id", "CAST(NULL AS STRING) AS package_id", "content")
+    got = {tuple(r) for r in scans.repair_content(df.unionByName(long).unionByName(loose)).collect()}
+    assert want <= got and any(r[0] == 8002 and r[2] == "hyphen" for r in got) and not any(r[0] == 8001 for r in got)
+
+
 def test_rebuilt_paragraphs():
     text = "Head 1\nthe sl-\neeve, and a\nrnotor spins.\n\nNext."
     got = scans.rebuilt(text, [(0, "header", ""), (1, "hyphen", "sleeve"), (3, "char", "motor")])

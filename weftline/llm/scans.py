@@ -35,6 +35,8 @@ from .textdist import osa
 SAMPLE = 6000
 #: A book is a scan if text flows on across so large a share of its line ends.
 WRAPPED = 0.2
+#: Lines of so many characters are longer than a page is wide; a scan has at most this share of them.
+LONG, MOST_LONG = 120, 0.25
 #: A line is common to books if it stands in so many of them and in this share of all; sentences that recur are not.
 COMMON_BOOKS, COMMON_SHARE = 3, 0.05
 #: A word is trusted at this rate of all words (so there are at most 1 / rate of them), and at this count.
@@ -100,9 +102,15 @@ def lines_of(sections: DataFrame) -> DataFrame:
 
 
 def scanned(lines: DataFrame) -> DataFrame:
-    """(package_id) of the books whose lines are those of scanned pages: sentences run on across them."""
-    runs = lines.groupBy("package_id").agg(F.count("*").alias("n"), F.sum(F.when(~F.col("stopped") & ~F.col("first"), 1).otherwise(0)).alias("open"), F.max(F.length("text")).alias("longest"))
-    return runs.filter((F.col("open") >= WRAPPED * F.col("n")) & (F.col("longest") <= 120)).select("package_id")
+    """The ``lines`` of the books whose lines are those of scanned pages: sentences run on across them.
+
+    A section without package is judged by itself.
+    """
+    book = lines.withColumn("alone", F.when(F.col("package_id") == "", F.col("section_id")))
+    runs = book.groupBy("package_id", "alone").agg(F.count("*").alias("n"), F.sum(F.when(~F.col("stopped") & ~F.col("first"), 1).otherwise(0)).alias("open"), F.count_if(F.length("text") > LONG).alias("long"))
+    scans = runs.filter((F.col("open") >= WRAPPED * F.col("n")) & (F.col("long") <= MOST_LONG * F.col("n")))
+    b, s = book.alias("b"), scans.alias("s")
+    return b.join(s, (F.col("b.package_id") == F.col("s.package_id")) & F.col("b.alone").eqNullSafe(F.col("s.alone")), "left_semi").drop("alone")
 
 
 FURNITURE = ["share", "n_lines", "book_share", "first", "flows", "upper_start", "stopped", "title_share", "numbered", "width"]
@@ -139,7 +147,7 @@ def furniture_model(lines: DataFrame) -> Booster:
 def classified_lines(lines: DataFrame) -> DataFrame:
     """(section_id, line_no, text, kind) of the lines of scanned books; kind: header, page_no or text."""
     spark = lines.sparkSession
-    known = materialize(with_repetition(lines.join(scanned(lines), "package_id", "left_semi")), "repeated")
+    known = materialize(with_repetition(scanned(lines)), "repeated")
     model = spark.sparkContext.broadcast(furniture_model(known))
 
     @F.pandas_udf("string")
