@@ -258,6 +258,21 @@ def test_one_long_line_leaves_a_book_a_scan(spark):
     assert want <= got and any(r[0] == 8002 and r[2] == "hyphen" for r in got) and not any(r[0] == 8001 for r in got)
 
 
+def test_trust_in_a_word_does_not_fall_with_more_text(spark):
+    df, want = book(spark)
+    term = "\n".join(["The quernstone is held by two parts"] * 10 + ["The quern5tone is held by two parts"])
+    more = "\n".join(["the sleeve of the upper panel is held by two parts " * 10_000 + "."] * 60)
+    extra = spark.createDataFrame([(7000, "p1", term), (7001, "clean", more)], df.schema)
+    got = {tuple(r) for r in scans.repair_content(df.unionByName(extra)).collect()}
+    assert (7000, 10, "char", "quernstone") in got
+
+
+def test_corrections_lead_to_the_right_word(spark):
+    fixes = spark.createDataFrame([("S1eevc", "Sleevc"), ("sleevc", "sleeve"), ("f1ange", "flange")], "word string, fixed string")
+    trusted = spark.createDataFrame([("sleevc", 40), ("sleeve", 9000), ("flange", 900)], "known string, n long")
+    assert {tuple(r) for r in scans.settled(fixes, trusted).collect()} == {("S1eevc", "Sleeve"), ("sleevc", "sleeve"), ("f1ange", "flange")}
+
+
 def test_rebuilt_paragraphs():
     text = "Head 1\nthe sl-\neeve, and a\nrnotor spins.\n\nNext."
     got = scans.rebuilt(text, [(0, "header", ""), (1, "hyphen", "sleeve"), (3, "char", "motor")])

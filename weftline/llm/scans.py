@@ -39,8 +39,8 @@ WRAPPED = 0.2
 LONG, MOST_LONG = 120, 0.25
 #: A line is common to books if it stands in so many of them and in this share of all; sentences that recur are not.
 COMMON_BOOKS, COMMON_SHARE = 3, 0.05
-#: A word is trusted at this rate of all words (so there are at most 1 / rate of them), and at this count.
-TRUST_RATE, TRUST_LEAST = 2e-6, 4
+#: A word is trusted from this count on, however large the corpus.
+TRUST_LEAST = 4
 #: A candidate must be so many times as frequent as the word it replaces.
 TIMES = 8
 #: q-grams of words, and how many of a word's rarest must be looked up: three misreadings of at most
@@ -291,7 +291,27 @@ def corrections(suspects: DataFrame, trusted: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"word": [w for w, _, _ in keep], "fixed": [cased(w, k) for w, k, _ in keep], "p": p, "misreads": [int(f[0]) for _, _, f in keep]})
 
     scored = pairs.repartition(parallelism(spark)).mapInPandas(score, "word string, fixed string, p double, misreads int").filter("p > 0.5 AND fixed <> word")
-    return scored.groupBy("word").agg(F.max_by("fixed", F.struct(-F.col("misreads"), "p", "fixed")).alias("fixed"))
+    return settled(scored.groupBy("word").agg(F.max_by("fixed", F.struct(-F.col("misreads"), "p", "fixed")).alias("fixed")), trusted)
+
+
+@F.pandas_udf(T.StringType())
+def _cased_udf(read: pd.Series, right: pd.Series) -> pd.Series:
+    return pd.Series([cased(a, b) for a, b in zip(read, right)], dtype=object)
+
+
+def settled(fixes: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``fixes`` (word, fixed) whose ends are no misreadings themselves: in a large corpus these recur and are trusted.
+
+    A trusted word leads on to its own correction where that is TIMES as frequent, so no chain is a circle.
+    """
+    known = lambda word, n: trusted.select(F.col("known").alias(word), F.col("n").alias(n))
+    on = fixes.filter(F.col("word") == F.lower("word")).select(F.col("word").alias("via"), F.lower("fixed").alias("next"))
+    on = materialize(on.join(known("via", "n_via"), "via").join(known("next", "n_next"), "next").filter(F.col("n_next") >= TIMES * F.col("n_via")).select("via", "next"), "onward")
+    fixes = materialize(fixes, "chosen")
+    while not fixes.join(on, F.lower("fixed") == F.col("via"), "left_semi").isEmpty():
+        step = fixes.join(on, F.lower("fixed") == F.col("via"), "left")
+        fixes = materialize(step.select("word", F.when(F.col("next").isNull(), F.col("fixed")).otherwise(_cased_udf("word", F.coalesce("next", "fixed"))).alias("fixed")), "chosen")
+    return fixes.filter("fixed <> word")
 
 
 JOIN = ["log_joined", "log_hyphened", "log_left", "log_right", "soft"]
@@ -350,11 +370,10 @@ def repair_content(sections: DataFrame) -> DataFrame:
     )
     tokens = materialize(text.mapInPandas(_token_batches, TOKENS), "tokens")
     counts = materialize(lines.select("text").mapInPandas(_count_batches, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "counts")
-    total = counts.agg(F.sum("n")).first()[0] or 0
     lower = materialize(counts.groupBy(F.lower("word").alias("word")).agg(F.sum("n").alias("n")), "lower")
     trusted = materialize(
         counts.filter(~F.col("word").rlike(r"[\d_]") & ~F.col("word").rlike(r"\p{Ll}\p{Lu}")).groupBy(F.lower("word").alias("known")).agg(F.sum("n").alias("n"))
-        .filter(F.col("n") >= max(TRUST_LEAST, TRUST_RATE * total)),
+        .filter(F.col("n") >= TRUST_LEAST),
         "trusted",
     )
     # Suspects: words of scanned text; a frequent misreading is no more trusted than a rare one, so all are
