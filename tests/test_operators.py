@@ -266,3 +266,12 @@ def test_concept_ids_are_part_of_all(spark, small):
 
     plain, every = ({tuple(r) for r in f(spark, small).collect()} for f in (plans.concept_ids, plans.record_concept_ids))
     assert plain < every and len(every) == spark.read.parquet(f"{small}/concept_records.parquet").count()
+
+
+def test_witnessed_parts(spark):
+    texts = spark.createDataFrame([(1, "Fit TI5521-1 and AB-1234-567/A, then ab-77 88 with XAB9Y"), (2, None), (3, "5521-1")], "doc int, text string")
+    mpns = ("5521-1", "AB-1234-567", "AB-7788", "AB9", "TI5521", "I552-1", "ZZ-1234")
+    parts = spark.createDataFrame([*((1, m) for m in mpns), (2, "5521-1"), (3, "521-1"), (1, "T5521"), (1, "T55211"), (1, "--")], "doc int, mpn string")
+    got = {(r.doc, r.mpn): r.verdict for r in trust.witnessed(parts, texts, "doc").collect()}
+    assert got[1, "I552-1"] == got[1, "5521-1"] == got[1, "AB-1234-567"] == got[1, "AB-7788"] == got[1, "AB9"] == got[1, "TI5521"] == "kept"
+    assert got[1, "T55211"] == got[1, "T5521"] == "suspect" and got[1, "ZZ-1234"] == got[2, "5521-1"] == got[1, "--"] == "unseen" and got[3, "521-1"] == "kept"

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
+from ..functions import recognise as R
 from ..functions import text as X
 
 # Phrases of a last-time-buy date, word by word; ltb stands alone.
@@ -161,6 +164,33 @@ def corroborated(parts: DataFrame, witness: DataFrame, doc: str) -> DataFrame:
     return seen.unionByName(bad).unionByName(unseen)
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def _shortened(tokens: pd.Series) -> pd.Series:
+    """The token without any one to three of its characters."""
+    return tokens.map(lambda t: sorted({"".join(t[i] for i in range(len(t)) if i not in gone) for k in (1, 2, 3) for gone in map(set, combinations(range(len(t)), k))}))
+
+
+def witnessed(parts: DataFrame, texts: DataFrame, doc: str) -> DataFrame:
+    """(doc, mpn, verdict): kept where a witness text contains the part, suspect where a token is the part with one to three characters more, else unseen.
+
+    Part and text are compared without case, presentation forms and anything but letters and digits, so a part that is
+    broken or stands in a longer token is found; parts under four such characters are kept or unseen.
+    ``parts``: (doc, mpn), ``texts``: (doc, text). A token meets the parts it may have lost characters to
+    through its deletion neighbourhood, so no first character need agree.
+    """
+    key = lambda c: F.regexp_replace(R.concept_name(c), r"[^\p{L}\p{Nd}]+", "")
+    p = parts.select(doc, "mpn").distinct().withColumn("k", key("mpn"))
+    asked = p.filter("k <> ''").select(doc, "k").distinct()
+    t = texts.select(doc, "text").filter("text IS NOT NULL").distinct()
+    seen = asked.join(t.select(doc, key("text").alias("held")), doc).filter(F.contains("held", "k")).select(doc, "k").distinct().withColumn("verdict", F.lit("kept"))
+    rest = asked.join(seen, [doc, "k"], "left_anti").filter("length(k) >= 4")
+    sizes = rest.groupBy(doc).agg(F.max(F.length("k")).alias("most"))
+    tokens = t.select(doc, F.explode(F.split("text", r"\s+")).alias("token")).select(doc, key("token").alias("token")).distinct()
+    tokens = tokens.join(sizes, doc).filter("length(token) BETWEEN 5 AND most + 3").select(doc, "token")
+    bad = tokens.select(doc, F.explode(_shortened("token")).alias("k")).join(rest, [doc, "k"]).select(doc, "k").distinct().withColumn("verdict", F.lit("suspect"))
+    return p.join(seen.unionByName(bad), [doc, "k"], "left").select(doc, "mpn", F.coalesce("verdict", F.lit("unseen")).alias("verdict"))
+
+
 def inherited_headers(grids: DataFrame, doc: str) -> DataFrame:
     """``grids`` (doc, seq, width, header) with ``inherited``: the last header declared above, if the width is the same.
 

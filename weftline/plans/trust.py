@@ -49,6 +49,13 @@ def corroborated_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.corroborated(parts, words, "procedure_id")
 
 
+def witnessed_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed part numbers against the whole folded text of their procedure's instructions."""
+    s = table(spark, sf_dir, "mfg_steps")
+    parts = s.select("procedure_id", F.explode("internal_part_numbers").alias("mpn")).filter("mpn IS NOT NULL")
+    return T.witnessed(parts, s.select("procedure_id", F.col("instruction_text").alias("text")), "procedure_id")
+
+
 def inherited_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Steps as grids of as many columns as they have tools; those with figures declare a header."""
     s = table(spark, sf_dir, "mfg_steps").select("procedure_id", F.col("step_key").alias("seq"), F.size(F.coalesce("tooling", F.array())).alias("width"), F.get("figure_references", F.lit(0)).alias("header"))
@@ -63,7 +70,7 @@ def completed_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return T.completed_boxes(boxes, words, "page")
 
 
-QUERIES = {f.__name__: f for f in (dated_phrases, reading_agreements, recovered_makers, header_branches, asof_previous_event, corroborated_parts, inherited_headers, completed_boxes)}
+QUERIES = {f.__name__: f for f in (dated_phrases, reading_agreements, recovered_makers, header_branches, asof_previous_event, corroborated_parts, witnessed_parts, inherited_headers, completed_boxes)}
 _F = "nullif(regexp_replace(trim(regexp_replace(lower({0}), '\\s+', ' ', 'g')), '^[^\\p{{L}}\\p{{Nd}}]+|[^\\p{{L}}\\p{{Nd}}]+$', '', 'g'), '')"
 _SUB = "regexp_matches({long}, array_to_string(list_transform(string_split({short}, ''), lambda c: regexp_escape(c)), '.*'))"
 
