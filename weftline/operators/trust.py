@@ -176,7 +176,8 @@ def witnessed(parts: DataFrame, texts: DataFrame, doc: str) -> DataFrame:
     Part and text are compared without case, presentation forms and anything but letters and digits, so a part that is
     broken or stands in a longer token is found; parts under four such characters are kept or unseen.
     ``parts``: (doc, mpn), ``texts``: (doc, text). A token meets the parts it may have lost characters to
-    through its deletion neighbourhood, so no first character need agree.
+    through its deletion neighbourhood, so no first character need agree. The neighbourhoods are large and
+    their size is not foreseen, so they are merged, never broadcast.
     """
     key = lambda c: F.regexp_replace(R.concept_name(c), r"[^\p{L}\p{Nd}]+", "")
     p = parts.select(doc, "mpn").distinct().withColumn("k", key("mpn"))
@@ -186,8 +187,8 @@ def witnessed(parts: DataFrame, texts: DataFrame, doc: str) -> DataFrame:
     rest = asked.join(seen, [doc, "k"], "left_anti").filter("length(k) >= 4")
     sizes = rest.groupBy(doc).agg(F.max(F.length("k")).alias("most"))
     tokens = t.select(doc, F.explode(F.split("text", r"\s+")).alias("token")).select(doc, key("token").alias("token")).distinct()
-    tokens = tokens.join(sizes, doc).filter("length(token) BETWEEN 5 AND most + 3").select(doc, "token")
-    bad = tokens.select(doc, F.explode(_shortened("token")).alias("k")).join(rest, [doc, "k"]).select(doc, "k").distinct().withColumn("verdict", F.lit("suspect"))
+    tokens = tokens.hint("merge").join(sizes, doc).filter("length(token) BETWEEN 5 AND most + 3").select(doc, "token")
+    bad = tokens.select(doc, F.explode(_shortened("token")).alias("k")).hint("merge").join(rest.hint("merge"), [doc, "k"]).select(doc, "k").distinct().withColumn("verdict", F.lit("suspect"))
     return p.join(seen.unionByName(bad), [doc, "k"], "left").select(doc, "mpn", F.coalesce("verdict", F.lit("unseen")).alias("verdict"))
 
 
