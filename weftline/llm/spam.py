@@ -10,7 +10,10 @@ abnormally low, are no prose; a page is spam if they make up more than half of i
 
 Counts and thresholds are taken over all documents. What is broadcast is bounded by the model, not by
 the corpus: function words (for each language at most the mean number of words per document divided
-by LEAST_DF), known words (at most 1 / KNOWN_RATE) and the trigrams over function words and classes.
+by LEAST_DF), known words (for each language at most 1 / KNOWN_RATE) and the trigrams over function
+words and classes. Rates are taken within a language, so the prose of a rare language stays known
+however large the others are. Markup is no text: a link's tag reads as a link of its length, the ends of
+blocks as line ends, other tags as blanks.
 """
 
 from __future__ import annotations
@@ -24,18 +27,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, parallelism, table
-from .spread import spread
+from .spread import spread_once
 
 #: A word is a function word if this share of the documents of some language hold it.
 LEAST_DF = 0.3
 #: A document trains the model if it has so many words and at least this share of them are function words.
 PROSE_WORDS, PROSE_SHARE = 8, 0.25
-#: A word is known to prose at this rate of its words.
+#: A word is known to prose at this rate of the words of some language's prose.
 KNOWN_RATE, KNOWN_LEAST = 1e-5, 3
-#: Scores beyond these quantiles of prose are abnormal; the low one is reduced by a margin in nats.
+#: Scores beyond these quantiles of prose are abnormal, as such or for the length of their segment; the low one is reduced by a margin in nats.
 LOW_Q, HIGH_Q, LOW_MARGIN = 0.0005, 0.998, 0.1
 #: A page is spam above this share of abnormal text.
 MOST_ABNORMAL = 0.5
+#: Further copies of a text that is more than one in so many documents train nothing.
+HOT_TEXTS = 1000
 #: Words that count as repeated if they occurred among so many content words before; least words of a segment.
 MEMORY, LEAST_WORDS = 14, 6
 WEIGHTS = (0.62, 0.25, 0.12, 0.01)
@@ -48,15 +53,37 @@ _TOKEN = re.compile(
     r"|(?P<W>[^\W\d_]+(?:['’-][^\W\d_]+)*)"
     r"|(?P<P>[^\w\s])"
 )
+# Tags are at most so long, so that a stray angle bracket costs no quadratic search.
+_LINK = re.compile(r"<a\b[^<>]{0,4000}>", re.IGNORECASE)
+_BLOCK = re.compile(r"</?(?:br|p|div|li|ul|ol|tr|table|h[1-6])\b[^<>]{0,4000}>", re.IGNORECASE)
+_TAG = re.compile(r"</?[A-Za-z][^<>]{0,4000}>")
+_WRAP = re.compile(r"(?<=[^\W_])[ \t]*\n[ \t]*(?=[a-zà-öø-ÿ]+[\s,;])")
 _SENTENCE = re.compile(r"(?<=[.!?])\s+")
 _LETTERS = re.compile(r"[^\W\d_]+")
+_URL = re.compile(r"(?:https?://|www\.)\S+")
 BEGIN = "^"
 
 
+def unmarked(text: str) -> str:
+    """The text without markup; a link's tag reads as a link of its length."""
+    if "<" not in text:
+        return text
+    text = _LINK.sub(lambda m: " https://" + "x" * max(1, len(m[0]) - 8) + " ", text)
+    return _TAG.sub(" ", _BLOCK.sub("\n", text))
+
+
+def prose_words(text: str) -> list[str]:
+    """The words of a text that are no part of links or markup."""
+    return _LETTERS.findall(_URL.sub(" ", unmarked(text)).lower())
+
+
 def segments(text: str) -> list[str]:
-    """The sentences of each line; what is too short joins its neighbour within the line."""
+    """The sentences of each line; what is too short joins its neighbour within the line.
+
+    A line that goes on in lower case after a line without a stop was wrapped and is no line of its own.
+    """
     out = []
-    for line in text.split("\n"):
+    for line in _WRAP.sub(" ", text).split("\n"):
         line = line.strip()
         if not line:
             continue
@@ -168,14 +195,27 @@ class Model:
 
 
 def function_words(docs: DataFrame) -> DataFrame:
-    """(word) of every function word; by language as given, null being one of its own."""
-    lang = F.coalesce("lang", F.lit(""))
-    n = docs.groupBy(lang.alias("l")).agg(F.count("*").alias("n"))
-    words = docs.select(lang.alias("l"), F.explode(F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))).alias("word")).filter("word <> ''")
+    """(word) of every function word of (l, text); by language as given, the empty one being one of its own."""
+    n = docs.groupBy("l").agg(F.count("*").alias("n"))
+    plain = F.regexp_replace(F.lower("text"), r"</?[a-z][^<>]{0,4000}>|(?:https?://|www\.)\S+", " ")
+    words = docs.select("l", F.explode(F.array_distinct(F.split(plain, r"[^\p{L}]+"))).alias("word")).filter("word <> ''")
     df = words.groupBy("l", "word").agg(F.count("*").alias("df"))
     return df.join(n, "l").filter((F.col("df") >= LEAST_DF * F.col("n")) & (F.col("df") >= 3)).select("word").distinct()
 
 
+def without_hot_copies(docs: DataFrame) -> DataFrame:
+    """``docs`` without the further copies of texts that more than 1 / HOT_TEXTS of all documents are: a page
+    that was copied a third of the corpus over makes no function words and trains no model.
+
+    By counting there are fewer than HOT_TEXTS such texts, so their hashes are broadcast and no text is shuffled.
+    """
+    h = F.xxhash64("text")
+    copies = docs.groupBy(h.alias("h")).agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
+    total = docs.count()
+    hot = copies.filter(F.col("n") > max(1, total // HOT_TEXTS)).select("h", "first")
+    return docs.withColumn("h", h).join(F.broadcast(hot), "h", "left").filter("first IS NULL OR doc_id = first").drop("h", "first")
+
+
 def is_prose(words: list[str], function: frozenset[str]) -> bool:
     """Whether a document of these words has the function words of prose."""
     return len(words) >= PROSE_WORDS and sum(w in function for w in words) >= PROSE_SHARE * len(words)
@@ -185,11 +225,11 @@ def _count_words(function):
     def run(batches):
         for pdf in batches:
             counts: Counter = Counter()
-            for text in pdf["text"]:
-                words = _LETTERS.findall(text.lower())
+            for lang, text in zip(pdf["l"], pdf["text"]):
+                words = prose_words(text)
                 if is_prose(words, function.value):
-                    counts.update(words)
-            yield pd.DataFrame(counts.items(), columns=["word", "n"]).astype({"word": "object", "n": "int64"})
+                    counts.update((lang, w) for w in words)
+            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["l", "word", "n"]).astype({"l": "object", "word": "object", "n": "int64"})
 
     return run
 
@@ -200,10 +240,10 @@ def _count_trigrams(function, known):
         for pdf in batches:
             counts: Counter = Counter()
             for text in pdf["text"]:
-                if not is_prose(_LETTERS.findall(text.lower()), function.value):
+                if not is_prose(prose_words(text), function.value):
                     continue
                 memory: deque = deque(maxlen=MEMORY)
-                for s in segments(text):
+                for s in segments(unmarked(text)):
                     a = b = BEGIN
                     for c in reader.classes(s, memory):
                         counts[a, b, c] += 1
@@ -219,28 +259,30 @@ def _score(function, known, model):
         for pdf in batches:
             rows = []
             for d, text in zip(pdf["doc_id"], pdf["text"]):
-                prose = is_prose(_LETTERS.findall(text.lower()), function.value)
+                prose = is_prose(prose_words(text), function.value)
                 memory: deque = deque(maxlen=MEMORY)
-                for s in segments(text):
+                for s in segments(unmarked(text)):
                     if seq := reader.classes(s, memory):
-                        rows.append((d, len(s), m.score(seq), prose and seq[-1] == "$" and len(seq) > LEAST_WORDS))
-            yield pd.DataFrame(rows, columns=["doc_id", "chars", "score", "prose"]).astype({"doc_id": "int64", "chars": "int64", "score": "float64", "prose": "bool"})
+                        rows.append((d, len(s), len(seq), m.score(seq), seq[-1] != "$", prose and seq[-1] == "$" and len(seq) > LEAST_WORDS))
+            yield pd.DataFrame(rows, columns=["doc_id", "chars", "tokens", "score", "few", "prose"]).astype({"doc_id": "int64", "chars": "int64", "tokens": "int64", "score": "float64", "few": "bool", "prose": "bool"})
 
     return run
 
 
 def scored_segments(docs: DataFrame) -> DataFrame:
-    """(doc_id, chars, score, prose) of every segment; ``prose`` for the sentences of documents that trained the model."""
+    """(doc_id, chars, tokens, score, few, prose) of every segment; ``few`` if few of its words are function words, ``prose`` for the sentences of documents that trained the model."""
     spark = docs.sparkSession
     share = spark.sparkContext.broadcast
-    rows = spread(docs.select(F.col("doc_id").cast("long"), "lang", "text").filter("text IS NOT NULL"), parallelism(spark))
-    function = share(frozenset(r[0] for r in function_words(rows).toLocalIterator()))
-    words = materialize(rows.select("text").mapInPandas(_count_words(function), "word string, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
-    total = words.agg(F.sum("n")).first()[0] or 0
-    known = share(frozenset(r[0] for r in words.filter(F.col("n") >= max(KNOWN_LEAST, KNOWN_RATE * total)).select("word").toLocalIterator()))
-    counts = rows.select("text").mapInPandas(_count_trigrams(function, known), "a string, b string, c string, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
+    rows = spread_once(docs.select(F.col("doc_id").cast("long"), F.coalesce("lang", F.lit("")).alias("l"), "text").filter("text IS NOT NULL"), parallelism(spark))
+    once = without_hot_copies(rows)
+    function = share(frozenset(r[0] for r in function_words(once).toLocalIterator()))
+    words = materialize(once.select("l", "text").mapInPandas(_count_words(function), "l string, word string, n long").groupBy("l", "word").agg(F.sum("n").alias("n")), "words")
+    total = words.groupBy("l").agg(F.sum("n").alias("total"))
+    often = words.filter(F.col("n") >= KNOWN_LEAST).join(total, "l").filter(F.col("n") >= KNOWN_RATE * F.col("total")).select("word").distinct()
+    known = share(frozenset(r[0] for r in often.toLocalIterator()))
+    counts = once.select("text").mapInPandas(_count_trigrams(function, known), "a string, b string, c string, n long").groupBy("a", "b", "c").agg(F.sum("n").alias("n"))
     model = share(Model({(r[0], r[1], r[2]): r[3] for r in counts.toLocalIterator()}))
-    return rows.select("doc_id", "text").mapInPandas(_score(function, known, model), "doc_id long, chars long, score double, prose boolean")
+    return rows.select("doc_id", "text").mapInPandas(_score(function, known, model), "doc_id long, chars long, tokens long, score double, few boolean, prose boolean")
 
 
 def spam_scores(docs: DataFrame) -> DataFrame:
@@ -249,9 +291,14 @@ def spam_scores(docs: DataFrame) -> DataFrame:
     ``docs``: (doc_id, text, lang). Null texts, and texts without any token, have no row.
     """
     seg = materialize(scored_segments(docs), "segments")
-    q = seg.filter("prose").agg(F.percentile_approx("score", [LOW_Q, HIGH_Q], 10_000).alias("q")).first()[0] or [0.0, 0.0]
-    low, high = q[0] - LOW_MARGIN, q[1]
-    abnormal = F.when(~F.col("score").between(low, high), F.col("chars")).otherwise(0)
+    prose = seg.filter("prose")
+    at = prose.agg(F.percentile_approx("score", [LOW_Q, HIGH_Q], 10_000).alias("q"), F.avg("score").alias("mean")).first()
+    (low, high), mean = at["q"] or [0.0, 0.0], at["mean"] or 0.0
+    # The mean over many tokens strays less from that of prose than the mean over few: long runs of
+    # words without function words are judged by that, too.
+    stray = (F.col("score") - mean) * F.sqrt("tokens")
+    far = prose.agg(F.percentile_approx(stray, HIGH_Q, 10_000)).first()[0] or 0.0
+    abnormal = F.when(~F.col("score").between(low - LOW_MARGIN, high) | (F.col("few") & (stray > far)), F.col("chars")).otherwise(0)
     return seg.groupBy("doc_id").agg(F.sum("chars").alias("chars"), F.sum(abnormal).alias("abnormal_chars")).withColumn("share", F.col("abnormal_chars") / F.col("chars"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from ..session import materialize
+
 
 def spread(df: DataFrame, parts: int) -> DataFrame:
     """``df``, repartitioned only where its scan has fewer partitions than ``parts``.
@@ -13,3 +15,8 @@ def spread(df: DataFrame, parts: int) -> DataFrame:
     partitions of a plan with shuffles would run them.
     """
     return df.repartition(parts) if df.rdd.getNumPartitions() < parts else df
+
+
+def spread_once(df: DataFrame, parts: int) -> DataFrame:
+    """As ``spread``, for an input that several passes read: what is repartitioned is written once and read back."""
+    return materialize(df.repartition(parts), "spread") if df.rdd.getNumPartitions() < parts else df
