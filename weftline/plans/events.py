@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_path, table
+from ..session import drop_path, fresh_path, table
 from ..streaming import incremental as S
 
 
@@ -41,6 +41,18 @@ def event_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.latest_states(_stream(spark, sf_dir).select("user_id", "event_type", "ts"), "user_id", "ts", "event_type", fresh_path(spark, "latest")).select("user_id", "event_type", "ts")
 
 
+def event_state_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest event type of every user, after three deliveries that separate runs merge into one table."""
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "event_id")
+    inbox, state = fresh_path(spark, "inbox"), fresh_path(spark, "latest")
+    out = e.select("user_id", "event_type", "ts")
+    for k in range(3):
+        e.filter(F.coalesce(F.col("event_id") % 3, F.lit(0)) == k).drop("event_id").write.mode("append").parquet(inbox)
+        out = S.latest_states(S.file_stream(spark, inbox, out.schema), "user_id", "ts", "event_type", state)
+    drop_path(spark, inbox)
+    return out
+
+
 def event_retries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Run keys of retries: errors per user counted as attempts."""
     e = table(spark, sf_dir, "events").filter("event_type IS NOT NULL")
@@ -55,12 +67,13 @@ def flatten_json_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.groupBy("key").agg(F.count("*").alias("events"), F.countDistinct("value").alias("distinct_values"))
 
 
-QUERIES = {f.__name__: f for f in (event_windows, event_sessions, event_stream_discovery, event_stream_latest, event_retries, flatten_json_union)}
+QUERIES = {f.__name__: f for f in (event_windows, event_sessions, event_stream_discovery, event_stream_latest, event_state_deliveries, event_retries, flatten_json_union)}
 SQL = {
     "event_windows": "SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL",
     "event_sessions": "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM s GROUP BY user_id, k",
     "event_stream_discovery": "SELECT DISTINCT user_id FROM events",
     "event_stream_latest": "SELECT user_id, arg_max(event_type, (ts, event_type)) AS event_type, max(ts) AS ts FROM events GROUP BY 1",
+    "event_state_deliveries": "SELECT user_id, arg_max(event_type, (ts, event_type)) AS event_type, max(ts) AS ts FROM events GROUP BY 1",
     "event_retries": "SELECT event_id % 3 AS attempt, count(DISTINCT user_id) AS runs FROM events WHERE event_type IS NOT NULL GROUP BY 1",
     "flatten_json_union": "SELECT key, count(*) AS events, count(DISTINCT v) AS distinct_values FROM (SELECT unnest(json_keys(props)) AS key, props FROM events), LATERAL (SELECT json_extract_string(props, '$.' || key) AS v) GROUP BY 1",
 }

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import fresh_path
+from ..session import fresh_path, materialize
+from .state import BucketedTable
 
 SEEN = "file_name string, bytes long, arrived timestamp"
 
@@ -39,28 +40,29 @@ def discovered(spark: SparkSession, path: str, schema: T.StructType, key: str, s
     return run_stream(s, state_path or fresh_path(spark, "discovered"))
 
 
+def latest_of(rows: DataFrame, key: str, at: str, value: str) -> DataFrame:
+    """(key, value, at): the latest value of each key; of equal times the greater value."""
+    return rows.groupBy(key).agg(F.max_by(F.struct(value, at), F.struct(at, value)).alias("r")).select(key, "r.*")
+
+
 def latest_states(stream: DataFrame, key: str, at: str, value: str, path: str) -> DataFrame:
     """(key, value, at): the latest state of each key, kept by merging every micro-batch into the table at ``path``.
 
-    A merge rewrites the table to a new version; equal times keep the greater value, so a batch that
-    is delivered again changes nothing.
+    The table outlives the process: a later run over what has arrived since merges into it, and a run over
+    nothing new returns it as it is. Only the hash buckets a batch touches are rewritten; equal times keep
+    the greater value, so a batch that is delivered again changes nothing. A null key is a key of its own.
     """
     spark = stream.sparkSession
-    version = {"n": 0}
+    rows = stream.select(key, value, at)
+    state = BucketedTable(spark, f"{path}/state", rows.schema.simpleString()[7:-1].replace(":", " "), [key])
 
     def merge(batch: DataFrame, _id: int) -> None:
-        new = batch.select(key, value, at)
-        if version["n"]:
-            new = new.unionByName(spark.read.parquet(f"{path}/v{version['n']}"))
-        best = new.groupBy(key).agg(F.max_by(F.struct(value, at), F.struct(at, value)).alias("r")).select(key, "r.*")
-        version["n"] += 1
-        best.write.mode("overwrite").parquet(f"{path}/v{version['n']}")
-
-    q = stream.writeStream.foreachBatch(merge).option("checkpointLocation", f"{path}-checkpoint").trigger(availableNow=True).start()
+        new = latest_of(batch, key, at, value)
+        state.merge(materialize(new, "batch"), lambda old, add: latest_of(old.unionByName(add), key, at, value))
+
+    q = rows.writeStream.foreachBatch(merge).option("checkpointLocation", f"{path}/checkpoint").trigger(availableNow=True).start()
     q.awaitTermination()
-    if not version["n"]:
-        return spark.createDataFrame([], stream.select(key, value, at).schema)
-    return spark.read.parquet(f"{path}/v{version['n']}")
+    return state.rows()
 
 
 def retry_keys(requests: DataFrame) -> DataFrame:
