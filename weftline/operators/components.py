@@ -13,19 +13,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import drop, materialize
 
 
 def _roots(parent: DataFrame) -> DataFrame:
     """Pointer doubling over (node, parent) until every parent is a root."""
+    written = parent
     while True:
         up = parent.select(F.col("node").alias("parent"), F.col("parent").alias("up"))
         jumped = materialize(
             parent.join(up, "parent", "left").select("node", F.coalesce("up", "parent").alias("parent"), (F.coalesce("up", "parent") != F.col("parent")).alias("moved")),
             "roots",
         )
-        parent = jumped.select("node", "parent")
+        drop(written)
+        parent, written = jumped.select("node", "parent"), jumped
         if jumped.filter("moved").isEmpty():
+            parent._weftline_path = jumped._weftline_path
             return parent
 
 
@@ -45,17 +48,22 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
         both = live.union(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
         hooks = both.groupBy(F.col("u").alias("node")).agg(F.least(F.col("u"), F.min("v")).alias("parent"))
         roots = _roots(materialize(hooks, "hooks"))
-        if labels is None:
+        first = labels is None
+        if first:
             labels = roots
         else:
+            held = labels
             moved = roots.select(F.col("node").alias("parent"), F.col("parent").alias("root"))
             labels = materialize(labels.join(moved, "parent", "left").select("node", F.coalesce("root", "parent").alias("parent")), "labels")
+            drop(held)
         ru = roots.select(F.col("node").alias("u"), F.col("parent").alias("ru"))
         rv = roots.select(F.col("node").alias("v"), F.col("parent").alias("rv"))
+        before = live
         live = materialize(
             live.join(ru, "u").join(rv, "v").filter("ru <> rv").select(F.least("ru", "rv").alias("u"), F.greatest("ru", "rv").alias("v")).distinct(),
             "edges",
         )
+        drop(before, *([] if first else [roots]))
     else:
         raise RuntimeError("components did not converge")
     if labels is None:

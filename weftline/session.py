@@ -77,7 +77,16 @@ def materialize(df: DataFrame, name: str = "cut", partition_by: str | None = Non
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._weftline_path = path
+    return out
+
+
+def drop(*tables: DataFrame) -> None:
+    """Delete what ``materialize`` wrote for these tables; only once nothing lazy reads them any more."""
+    for t in tables:
+        if path := getattr(t, "_weftline_path", None):
+            drop_path(t.sparkSession, path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
