@@ -69,6 +69,27 @@ def test_an_update_touches_only_its_buckets(spark):
     keyed = L.with_keys(df, df.name, ["domain", "course_id"])
     led = L.Ledger(spark, L.fresh_path(spark, "ledger"), 8)
     led.update(keyed, "record_id")
-    before = dict(led._at)
+    before = dict(led.table.state["at"])
     led.update(keyed.filter("record_id = 7"), "record_id")
-    assert sum(led._at[b] != v for b, v in before.items()) == 1
+    assert sum(led.table.state["at"][b] != v for b, v in before.items()) == 1
+
+
+def test_a_later_process_goes_on(spark):
+    rows = [(i, "D", "c", f"n{i % 3}") for i in range(12)]
+    df = spark.createDataFrame(rows, "record_id long, domain string, course_id string, name string")
+    keyed = L.with_keys(df, df.name, ["domain", "course_id"])
+    path = L.fresh_path(spark, "ledger")
+    for k in range(3):
+        assert L.Ledger(spark, path).update(keyed.filter(f"record_id % 3 <> {k} OR record_id < 3"), "record_id", f"d{k}")
+    assert not L.Ledger(spark, path).update(keyed, "record_id", "d1")
+    assert {(r["keep_id"], r["copies"]) for r in L.Ledger(spark, path).groups().collect()} == {(0, 9), (1, 9), (2, 9)}
+
+
+def test_long_chains_of_writings_are_one_group(spark):
+    # f0-s0, s0-f1, f1-s1, ... : neighbours share one key, the ends share none.
+    rows = [(f"f{i + j}", f"s{i}") for i in range(120) for j in (0, 1)]
+    led = L.Ledger(spark, L.fresh_path(spark, "ledger"))
+    keyed = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "record_id long, flat_key string, sorted_key string")
+    led.update(keyed, "record_id")
+    assert {(r["keep_id"], r["copies"]) for r in led.groups().collect()} == {(0, 240)}
+    assert L.Ledger(spark, L.fresh_path(spark, "ledger")).groups().count() == 0

@@ -5,9 +5,10 @@ order written) and ``sorted`` (the same by parts between commas, semicolons and
 sorted order). Records are copies when either agrees, and copies of copies are copies.
 
 The ledger holds one row per (scope, flat, sorted) with the number of records and the earliest
-representative, in hash buckets. A batch is aggregated map-side first, so a key that holds a third of
-all rows is one row per task before any shuffle, then full-outer-joined with only those buckets it
-touches. Buckets are written as new versions; an update never rewrites a bucket it did not touch.
+representative, in hash buckets (``streaming.state``). A batch is aggregated map-side first, so a key that
+holds a third of all rows is one row per task before any shuffle, then full-outer-joined with only those
+buckets it touches. Buckets are written as new versions under a manifest, so a later process goes on
+where the last one ended; an update never rewrites a bucket it did not touch, and buckets double as they fill.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.components import connected_components
 from ..operators.skew import join_counted
-from ..session import fresh_path, materialize, table
+from ..session import drop, fresh_path, materialize, table
+from ..streaming.state import BucketedTable
 
 _PARTS = re.compile(r"[,;/]")
 _PLAIN = re.compile(r"[^0-9a-z]")
@@ -67,57 +70,50 @@ def with_keys(records: DataFrame, text: Column, scope: list[str]) -> DataFrame:
 
 
 class Ledger:
-    """Canonical-key counts under ``path``, in ``buckets`` hash buckets and numbered versions."""
+    """Canonical-key counts in the durable table under ``path``; a new object opens what the last one left."""
+
+    SCHEMA = "flat_key string, sorted_key string, n bigint, keep_id bigint"
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 16):
-        self.spark, self.path, self.buckets, self.version = spark, path, buckets, 0
-        self._at: dict[int, int] = {}
+        self.spark = spark
+        self.table = BucketedTable(spark, path, self.SCHEMA, ["flat_key", "sorted_key"], buckets)
 
-    SCHEMA = "flat_key string, sorted_key string, n bigint, keep_id bigint"
+    def rows(self) -> DataFrame:
+        """The current rows."""
+        return self.table.rows()
+
+    def update(self, keyed: DataFrame, record_id: str, delivery: str | None = None) -> bool:
+        """Add a batch of records that carry ``flat_key`` and ``sorted_key``; rows without keys are left out.
 
-    def rows(self, of: list[int] | None = None) -> DataFrame:
-        """The current rows of all buckets or of some."""
-        paths = [f"{self.path}/v={v}/bucket={b}" for b, v in sorted(self._at.items()) if of is None or b in of]
-        if not paths:
-            return self.spark.createDataFrame([], self.SCHEMA)
-        return self.spark.read.schema(self.SCHEMA).parquet(*paths)
-
-    def update(self, keyed: DataFrame, record_id: str) -> None:
-        """Add a batch of records that carry ``flat_key`` and ``sorted_key``; rows without keys are left out."""
-        batch = materialize(
-            keyed.filter("flat_key IS NOT NULL").groupBy("flat_key", "sorted_key").agg(F.count("*").alias("n"), F.min(record_id).alias("keep_id"))
-            .withColumn("bucket", F.expr(f"pmod(xxhash64(flat_key), {self.buckets})").cast("int")),
-            "batch",
-        )
-        touched = sorted(r[0] for r in batch.select("bucket").distinct().collect())  # at most ``buckets`` numbers
-        old = self.rows(touched)
+        A delivery that was added under its name before changes nothing (False).
+        """
+        if delivery is not None and self.table.applied(delivery):
+            return False
         k = ["flat_key", "sorted_key"]
-        merged = (
-            old.withColumnsRenamed({"n": "n0", "keep_id": "k0"}).join(batch.drop("bucket"), k, "full_outer")
-            .select(*k, (F.coalesce("n0", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n"), F.least("k0", "keep_id").alias("keep_id"))
-            .withColumn("bucket", F.expr(f"pmod(xxhash64(flat_key), {self.buckets})").cast("int"))
-        )
-        self.version += 1
-        merged.repartition("bucket").write.partitionBy("bucket").parquet(f"{self.path}/v={self.version}")
-        self._at |= dict.fromkeys(touched, self.version)
+        batch = materialize(keyed.filter("flat_key IS NOT NULL").groupBy(*k).agg(F.count("*").alias("n"), F.min(record_id).cast("long").alias("keep_id")), "batch")
+
+        def joined(old: DataFrame, new: DataFrame) -> DataFrame:
+            both = old.withColumnsRenamed({"n": "n0", "keep_id": "k0"}).join(new, k, "full_outer")
+            return both.select(*k, (F.coalesce("n0", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n"), F.least("k0", "keep_id").alias("keep_id"))
+
+        done = self.table.merge(batch, joined, delivery)
+        drop(batch)
+        return done
 
     def groups(self) -> DataFrame:
         """(flat_key, sorted_key, n, keep_id, copies): the ledger with each group's representative and size.
 
-        Spellings that share a flat or a sorted key are merged until nothing changes. A group here has
-        one row per way of writing the parts, not per record, so these windows stay small.
+        Rows that share a flat or a sorted key are one group, and so on. Only rows that share a key with
+        another row go through the components; the others are groups by themselves.
         """
-        g = materialize(self.rows().withColumn("g", F.col("sorted_key")), "groups")
-        for _ in range(40):
-            down = g.withColumn("g1", F.expr("min(g) OVER (PARTITION BY flat_key)"))
-            g2 = materialize(
-                down.withColumn("g2", F.expr("min(g1) OVER (PARTITION BY sorted_key)"))
-                .select("flat_key", "sorted_key", "n", "keep_id", F.col("g2").alias("g"), (F.col("g") != F.col("g2")).alias("moved")),
-                "groups",
-            )
-            g = g2.drop("moved")
-            if g2.filter("moved").isEmpty():
-                break
+        rows = self.rows()
+        shared = []
+        for key, other in (("flat_key", "sorted_key"), ("sorted_key", "flat_key")):
+            ends = rows.groupBy(key).agg(F.min(other).alias("lo"), F.max(other).alias("hi")).filter("lo <> hi")
+            shared.append(rows.join(ends.select(key), key, "left_semi").select("flat_key", "sorted_key"))
+        edges = shared[0].unionByName(shared[1]).select(F.concat(F.lit("f"), "flat_key").alias("a"), F.concat(F.lit("s"), "sorted_key").alias("b"))
+        of = materialize(connected_components(edges).filter("node LIKE 's%'").select(F.expr("substr(node, 2)").alias("sorted_key"), F.col("component").alias("g")), "groups")
+        g = rows.join(of, "sorted_key", "left").withColumn("g", F.coalesce("g", F.concat(F.lit("s"), "sorted_key")))
         whole = g.groupBy("g").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("copies"))
         return g.drop("keep_id").join(whole, "g").select("flat_key", "sorted_key", "n", "keep_id", "copies")
 
@@ -135,7 +131,7 @@ def build_ledger(spark: SparkSession, records: DataFrame, batches: int = 2) -> L
     step = ((hi - lo) / batches if hi is not None and hi > lo else 1.0) or 1.0
     at = F.coalesce(F.least(F.floor((F.col("loaded_at").cast("double") - F.lit(lo or 0.0)) / step), F.lit(batches - 1)), F.lit(0))
     for k in range(batches):
-        ledger.update(records.filter(at == k), "record_id")
+        ledger.update(records.filter(at == k), "record_id", f"delivery-{k}")
     return ledger
 
 
