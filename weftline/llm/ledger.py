@@ -111,7 +111,7 @@ class Ledger:
         for key, other in (("flat_key", "sorted_key"), ("sorted_key", "flat_key")):
             ends = rows.groupBy(key).agg(F.min(other).alias("lo"), F.max(other).alias("hi")).filter("lo <> hi")
             shared.append(rows.join(ends.select(key), key, "left_semi").select("flat_key", "sorted_key"))
-        edges = shared[0].unionByName(shared[1]).select(F.concat(F.lit("f"), "flat_key").alias("a"), F.concat(F.lit("s"), "sorted_key").alias("b"))
+        edges = materialize(shared[0].unionByName(shared[1]).select(F.concat(F.lit("f"), "flat_key").alias("a"), F.concat(F.lit("s"), "sorted_key").alias("b")).distinct(), "shared")
         of = materialize(connected_components(edges).filter("node LIKE 's%'").select(F.expr("substr(node, 2)").alias("sorted_key"), F.col("component").alias("g")), "groups")
         g = rows.join(of, "sorted_key", "left").withColumn("g", F.coalesce("g", F.concat(F.lit("s"), "sorted_key")))
         whole = g.groupBy("g").agg(F.min("keep_id").alias("keep_id"), F.sum("n").alias("copies"))
