@@ -41,8 +41,7 @@ def test_trie_join_is_complete(spark, strings):
 
 
 def test_hot_shards_are_copied(spark, strings, monkeypatch):
-    monkeypatch.setattr(triejoin, "HOT_LEAST", 3)
-    monkeypatch.setattr(triejoin, "HOT_SHARDS", 1000)
+    monkeypatch.setattr(triejoin, "CELL", 3)
     test_trie_join_is_complete(spark, strings)
 
 

@@ -6,8 +6,8 @@ each of their segments, query strings to the shards of every segment they could
 strings form a trie; a query traverses it with the rows of its Levenshtein automaton, which are shared
 by all strings with the same prefix and cut off where no state within k is left.
 
-Rows are streamed in shard order, so a task holds one trie at a time. A hot shard's queries are spread
-over several copies of its trie.
+Rows are streamed in shard order, so a task holds one trie at a time. A hot shard is divided on both
+sides into cells, so no task holds more than CELL strings of it, nor traverses them with more than CELL queries.
 """
 
 from __future__ import annotations
@@ -16,11 +16,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import parallelism
+from ..session import materialize, parallelism
 
-#: Shards with more index strings than total / HOT_SHARDS (there are fewer than 5 * HOT_SHARDS) and
-#: than HOT_LEAST are copied HOT_COPIES times.
-HOT_SHARDS, HOT_LEAST, HOT_COPIES = 200, 20_000, 16
+#: Index strings, and queries, that a task meets at once; larger shards are divided on both sides.
+CELL = 20_000
 
 
 def cut_points(length: int, parts: int) -> list[tuple[int, int]]:
@@ -137,14 +136,15 @@ def trie_join(queries: DataFrame, entries: DataFrame, k: int = 2) -> DataFrame:
     query_udf = F.pandas_udf(lambda s: s.map(lambda x: query_shards(x, k)), "array<string>")
     index = entries.filter("e <> ''").select(F.explode(index_udf("e")).alias("shard"), F.lit(False).alias("query"), F.col("e").alias("s"))
     ask = queries.filter("q <> ''").select(F.explode(query_udf("q")).alias("shard"), F.lit(True).alias("query"), F.col("q").alias("s"))
-    sizes = index.groupBy("shard").agg(F.count("*").alias("n"))
-    total = entries.count()
-    hot = sizes.filter(F.col("n") > max(HOT_LEAST, total // HOT_SHARDS)).select("shard").withColumn("hot", F.lit(True))
-    if total > HOT_LEAST and not hot.isEmpty():
-        hot = F.broadcast(hot)
-        copies = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(HOT_COPIES - 1))).otherwise(F.array(F.lit(0)))
-        index = index.join(hot, "shard", "left").select("shard", "query", "s", F.explode(copies).alias("copy")).select(F.concat_ws("#", "shard", F.col("copy").cast("string")).alias("shard"), "query", "s")
-        salt = F.when(F.col("hot"), F.expr(f"pmod(xxhash64(s), {HOT_COPIES})")).otherwise(F.lit(0))
-        ask = ask.join(hot, "shard", "left").select(F.concat_ws("#", "shard", salt.cast("string")).alias("shard"), "query", "s")
+    sizes = index.unionByName(ask).groupBy("shard").agg(F.count_if(~F.col("query")).alias("held"), F.count_if("query").alias("asked"))
+    hot = materialize(sizes.filter(F.greatest("held", "asked") > CELL).select("shard", *[F.ceil(F.col(c) / CELL).alias(c) for c in ("held", "asked")]), "hot")
+    if not hot.isEmpty():
+        # A hot shard becomes held x asked cells: a string goes to one part of its own side, for every part of the other.
+        def cells(side: DataFrame, own: str, other: str) -> DataFrame:
+            j = side.join(hot, "shard", "left").withColumn(own, F.expr(f"pmod(xxhash64(s), coalesce({own}, 1))"))
+            j = j.withColumn(other, F.explode(F.expr(f"sequence(0L, coalesce({other}, 1) - 1)")))
+            return j.select(F.concat_ws("#", "shard", F.col("held").cast("string"), F.col("asked").cast("string")).alias("shard"), "query", "s")
+
+        index, ask = cells(index, "held", "asked"), cells(ask, "asked", "held")
     rows = index.unionByName(ask).repartition(parallelism(spark), "shard").sortWithinPartitions("shard", "query")
     return rows.mapInPandas(_stream(k), "q string, e string, d int").distinct()
