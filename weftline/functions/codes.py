@@ -10,11 +10,88 @@ from .text import col
 # Kinds by the first digit of an information code, and the families without a kind.
 INFO_KINDS = {"0": "DescriptiveDataModule", "2": "ProcedureDataModule", "4": "FaultIsolationDataModule", "5": "ProcedureDataModule", "7": "ProcedureDataModule", "9": "IllustratedPartsDataModule"}
 UNMAPPED = ("1", "3", "6", "8")
-# Work-package root tags by kind.
+# Work-package root tags and their kinds; those of the root kind have no kind of their own.
 WP_KINDS = {
-    "ProcedureDataModule": "maintwp gen.maintwp genrepairwp auxeqpwp compchklistwp destruct-materialwp dmwr_operationalreqwp emergencywp eqploadwp facilwp lubewp manuwp mobilwp opcheckwp opunuwp opusualwp perseqpwp pmcswp pmi-cklistwp pmiwp pms-inspecwp pshopanalwp qawp storagewp surwp",
-    "FaultIsolationDataModule": "tswp diagnosticwp opcheck-tswp damage-assesswp",
-    "DescriptiveDataModule": "descwp ammo.markingwp ammowp bdar-geninfowp bdartoolswp coeibiiwp csi.wp ctrlindwp destruct-introwp dmwr_introwp dmwr_qarwp ginfowp handreceiptwp introwp macintrowp manu_items_introwp natowp oipwp pm-ginfowp pmcsintrowp pms-ginfowp ppmgeninfowp stowagewp",
+    "maintwp": "ProcedureDataModule",
+    "gen.maintwp": "ProcedureDataModule",
+    "genrepairwp": "ProcedureDataModule",
+    "auxeqpwp": "ProcedureDataModule",
+    "compchklistwp": "ProcedureDataModule",
+    "destruct-materialwp": "ProcedureDataModule",
+    "dmwr_operationalreqwp": "ProcedureDataModule",
+    "emergencywp": "ProcedureDataModule",
+    "eqploadwp": "ProcedureDataModule",
+    "facilwp": "ProcedureDataModule",
+    "lubewp": "ProcedureDataModule",
+    "manuwp": "ProcedureDataModule",
+    "mobilwp": "ProcedureDataModule",
+    "opcheckwp": "ProcedureDataModule",
+    "opunuwp": "ProcedureDataModule",
+    "opusualwp": "ProcedureDataModule",
+    "perseqpwp": "ProcedureDataModule",
+    "pmcswp": "ProcedureDataModule",
+    "pmi-cklistwp": "ProcedureDataModule",
+    "pmiwp": "ProcedureDataModule",
+    "pms-inspecwp": "ProcedureDataModule",
+    "pshopanalwp": "ProcedureDataModule",
+    "qawp": "ProcedureDataModule",
+    "storagewp": "ProcedureDataModule",
+    "surwp": "ProcedureDataModule",
+    "tswp": "FaultIsolationDataModule",
+    "diagnosticwp": "FaultIsolationDataModule",
+    "opcheck-tswp": "FaultIsolationDataModule",
+    "damage-assesswp": "FaultIsolationDataModule",
+    "descwp": "DescriptiveDataModule",
+    "ammo.markingwp": "DescriptiveDataModule",
+    "ammowp": "DescriptiveDataModule",
+    "bdar-geninfowp": "DescriptiveDataModule",
+    "bdartoolswp": "DescriptiveDataModule",
+    "coeibiiwp": "DescriptiveDataModule",
+    "csi.wp": "DescriptiveDataModule",
+    "ctrlindwp": "DescriptiveDataModule",
+    "destruct-introwp": "DescriptiveDataModule",
+    "dmwr_introwp": "DescriptiveDataModule",
+    "dmwr_qarwp": "DescriptiveDataModule",
+    "ginfowp": "DescriptiveDataModule",
+    "handreceiptwp": "DescriptiveDataModule",
+    "introwp": "DescriptiveDataModule",
+    "macintrowp": "DescriptiveDataModule",
+    "manu_items_introwp": "DescriptiveDataModule",
+    "natowp": "DescriptiveDataModule",
+    "oipwp": "DescriptiveDataModule",
+    "pm-ginfowp": "DescriptiveDataModule",
+    "pmcsintrowp": "DescriptiveDataModule",
+    "pms-ginfowp": "DescriptiveDataModule",
+    "ppmgeninfowp": "DescriptiveDataModule",
+    "stowagewp": "DescriptiveDataModule",
+    "techdescwp": "DescriptiveDataModule",
+    "thrywp": "DescriptiveDataModule",
+    "tsintrowp": "DescriptiveDataModule",
+    "wiringwp": "DescriptiveDataModule",
+    "plwp": "IllustratedPartsDataModule",
+    "bulk_itemswp": "IllustratedPartsDataModule",
+    "explistwp": "IllustratedPartsDataModule",
+    "inventorywp": "IllustratedPartsDataModule",
+    "kitswp": "IllustratedPartsDataModule",
+    "mrplwp": "IllustratedPartsDataModule",
+    "stl_partswp": "IllustratedPartsDataModule",
+    "stlwp": "IllustratedPartsDataModule",
+    "supitemwp": "IllustratedPartsDataModule",
+    "aalwp": "DataModule",
+    "macwp": "DataModule",
+    "nsnindxwp": "DataModule",
+    "orschwp": "DataModule",
+    "pnindxwp": "DataModule",
+    "refdesindxwp": "DataModule",
+    "refwp": "DataModule",
+    "substitute-matwp": "DataModule",
+    "toolidwp": "DataModule",
+    "torquewp": "DataModule",
+    "tsindxwp": "DataModule",
+    "wtloadwp": "DataModule",
+    "chgwplist": "DataModule",
+    "loepwp": "DataModule",
+    "genwp": "DataModule",
 }
 DMC = r"^([A-Z0-9]+)-([A-Z])-([A-Z0-9]{2})-([A-Z0-9]{2})-([A-Z0-9]{2})-([A-Z0-9]{3})-([A-Z0-9]{4})-([A-Z])$"
 
@@ -29,12 +106,15 @@ def info_kind(code: Column | str) -> Column:
 
 
 def wp_kind(tag: Column | str) -> Column:
-    """The kind of a work package's root tag (without name space, in any case); null for others."""
-    t = F.regexp_replace(F.lower(F.trim(col(tag))), r"^.*[}:]", "")
-    out = F.lit(None).cast("string")
-    for kind, tags in WP_KINDS.items():
-        out = F.when(t.isin(tags.split()), kind).otherwise(out)
-    return out
+    """(kind, fallthrough, refused) of a work package's root tag as written in the document type.
+
+    A name space before the tag is put aside, case counts. Tags without a kind of their own fall through to the
+    root kind and are named; a tag that is not listed, or none, is refused and has no kind.
+    """
+    t = F.element_at(F.split(F.trim(col(tag)), "[}:]"), -1)
+    kinds = F.create_map(*[F.lit(x) for pair in WP_KINDS.items() for x in pair])
+    kind = F.try_element_at(kinds, t)
+    return F.struct(kind.alias("kind"), F.when(kind == "DataModule", t).alias("fallthrough"), kind.isNull().alias("refused"))
 
 
 def canonical_dmc(raw: Column | str) -> Column:
@@ -59,7 +139,10 @@ def ingest_id(raw: Column | str) -> Column:
 
 
 def failure_code(message: Column | str) -> Column:
-    """The reason code of a failure message, by the first marker that fits."""
+    """The reason code of a failure message, by the first marker that fits.
+
+    Fixed values: the markers are the words of the messages.
+    """
     m = F.coalesce(col(message), F.lit(""))
     has = m.contains
     return (

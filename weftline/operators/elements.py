@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,16 +43,15 @@ def running_page(ls: DataFrame, id_col: str, divider: str = r"^(?:-+ *)?Page (\d
 def recognised_headings(ls: DataFrame, id_col: str) -> DataFrame:
     """(id, line_no, heading, level, number): numbered lines and short lines in capitals, without furniture."""
     t = F.trim("line")
-    furniture = reduce(lambda a, b: a | b, [t.rlike(p) for p in X.FURNITURE])
-    numbered = r"^(\d+(?:\.\d+)*)\.?\s+(\S.*)$"
-    number = F.when(t.rlike(numbered), F.regexp_extract(t, numbered, 1))
-    caps = (F.length(t) <= 48) & t.rlike(r"\p{L}") & (t == F.upper(t)) & ~t.rlike(X.ADMONITION)
-    heads = ls.filter((t != "") & ~furniture).withColumn("number", number).filter(F.col("number").isNotNull() | caps)
+    number = X.leading_number(t)["number"]
+    caps = (F.length(t) <= 48) & t.rlike(r"\p{L}") & (t == F.upper(t)) & ~X.is_admonition(t)
+    heads = ls.filter((t != "") & ~X.is_furniture(t)).withColumn("number", number).filter(F.col("number").isNotNull() | caps)
     level = F.when(F.col("number").isNotNull(), F.size(F.split("number", r"\."))).otherwise(1)
     return heads.select(id_col, "line_no", t.alias("heading"), level.alias("level"), "number")
 
 
-MOST_LEVELS = 9
+#: Levels up to which an outline is found by windows.
+WINDOW_LEVELS = 9
 
 
 def outline(heads: DataFrame, id_col: str) -> DataFrame:
@@ -61,20 +59,42 @@ def outline(heads: DataFrame, id_col: str) -> DataFrame:
 
     The parent is the greatest of the last lines of each lower level, the end the line before the next
     heading that is no descendant; both are running windows of one sort, whatever the text's length.
-    Levels above MOST_LEVELS count as MOST_LEVELS.
+    Texts with levels above WINDOW_LEVELS are read with a stack of open headings instead.
     """
-    lv = f"least(level, {MOST_LEVELS})"
+    cols = [id_col, "line_no", "heading", "level", "number"]
+    marked = heads.select(*cols).withColumn("_deep", F.expr(f"max(level) OVER (PARTITION BY {id_col})") > WINDOW_LEVELS)
+    kind = dict(heads.dtypes)
+    schema = ", ".join(f"{c} {kind[c]}" for c in cols) + ", parent int, end_line int"
+    deep = marked.filter("_deep").select(*cols).groupBy(id_col).applyInPandas(_stacked, schema)
+    return _windowed(marked.filter("NOT _deep"), id_col).unionByName(deep)
+
+
+def _windowed(heads: DataFrame, id_col: str) -> DataFrame:
     back = f"OVER (PARTITION BY {id_col} ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     ahead = f"OVER (PARTITION BY {id_col} ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
-    seen = {k: F.expr(f"max(CASE WHEN {lv} = {k} THEN line_no END) {back}") for k in range(1, MOST_LEVELS)}
-    coming = {k: F.expr(f"min(CASE WHEN {lv} = {k} THEN line_no END) {ahead}") for k in range(1, MOST_LEVELS + 1)}
+    seen = {k: F.expr(f"max(CASE WHEN level = {k} THEN line_no END) {back}") for k in range(1, WINDOW_LEVELS)}
+    coming = {k: F.expr(f"min(CASE WHEN level = {k} THEN line_no END) {ahead}") for k in range(1, WINDOW_LEVELS + 1)}
     d = heads.withColumns({f"b{k}": c for k, c in seen.items()} | {f"a{k}": c for k, c in coming.items()})
-    level = F.expr(lv)
-    parent = F.greatest(*[F.when(level > k, F.col(f"b{k}")) for k in range(1, MOST_LEVELS)])
-    following = F.least(*[F.when(level >= k, F.col(f"a{k}")) for k in range(1, MOST_LEVELS + 1)])
+    level = F.col("level")
+    parent = F.greatest(*[F.when(level > k, F.col(f"b{k}")) for k in range(1, WINDOW_LEVELS)])
+    following = F.least(*[F.when(level >= k, F.col(f"a{k}")) for k in range(1, WINDOW_LEVELS + 1)])
     return d.select(id_col, "line_no", "heading", "level", "number", parent.alias("parent"), (following - 1).alias("end_line"))
 
 
+def _stacked(pdf: pd.DataFrame) -> pd.DataFrame:
+    pdf = pdf.sort_values("line_no").reset_index(drop=True)
+    level, line = pdf["level"].tolist(), pdf["line_no"].tolist()
+    parent: list[int | None] = [None] * len(line)
+    end: list[int | None] = [None] * len(line)
+    held: list[int] = []
+    for i, v in enumerate(level):
+        while held and level[held[-1]] >= v:
+            end[held.pop()] = line[i] - 1
+        parent[i] = line[held[-1]] if held else None
+        held.append(i)
+    return pdf.assign(parent=pd.array(parent, dtype="Int32"), end_line=pd.array(end, dtype="Int32"))
+
+
 def overlapping_chunks(docs: DataFrame, id_col: str, text: str, size: int = 15_000, overlap: int = 1_500) -> DataFrame:
     """(id, chunk_no, chunk): windows of ``size`` characters every ``size - overlap``; a short text is one chunk."""
     n, step = F.length(text), size - overlap
@@ -108,10 +128,13 @@ def upsert_verdicts(old: DataFrame, new: DataFrame, key: str, vector: str) -> Da
 
 
 def upserted(old: DataFrame, new: DataFrame, key: str, vector: str) -> DataFrame:
-    """The state after the write: one row per key, an existing row kept where the new one has no vector."""
+    """The state after the write: one row per key, an existing row kept where the new one has no vector.
+
+    Of new rows with one key one with a vector stays, of these the greatest by all columns.
+    """
     cols = [c for c in old.columns if c != key]
     o = old.select(key, F.struct(*cols).alias("o"))
-    n = new.dropDuplicates([key]).select(key, F.struct(*cols).alias("n"))
+    n = new.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(F.col(vector).isNotNull(), *cols)).alias("n"))
     j = o.join(n, key, "full_outer")
     keep = F.when(F.col("n").isNull() | (F.col("o").isNotNull() & F.col(f"n.{vector}").isNull()), F.col("o")).otherwise(F.col("n"))
     return j.select(key, keep.alias("r")).select(key, *[f"r.{c}" for c in cols])

@@ -24,8 +24,13 @@ def nodes_of(edges: DataFrame, source_label: str) -> DataFrame:
 
 
 def merged(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
-    """``old`` with ``new`` rows put over it by key: idempotent, one row per key."""
-    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(new.dropDuplicates(keys))
+    """``old`` with ``new`` rows put over it by key: idempotent, one row per key.
+
+    Of new rows with one key the greatest by all columns stays, whatever the partitioning.
+    """
+    rest = [c for c in new.columns if c not in keys]
+    one = new.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r")).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]) if rest else new.distinct()
+    return old.join(new.select(*keys).distinct(), keys, "left_anti").unionByName(one)
 
 
 def replaced_subtrees(old: DataFrame, new: DataFrame, scope: str) -> DataFrame:
@@ -33,21 +38,25 @@ def replaced_subtrees(old: DataFrame, new: DataFrame, scope: str) -> DataFrame:
     return old.join(new.select(scope).distinct(), scope, "left_anti").unionByName(new)
 
 
-def reachable(edges: DataFrame, most: int = 64) -> DataFrame:
-    """(ancestor, node, depth): every node with all nodes above it, breadth first until nothing is new.
+def reachable(edges: DataFrame) -> DataFrame:
+    """(ancestor, node, depth): every node with all nodes above it; depth is the least.
 
-    ``edges``: (parent, child). A cycle ends where a pair is already known; depth is the least.
+    ``edges``: (parent, child). Paths are doubled: a round joins the paths known so far with themselves, so a
+    chain of any depth takes logarithmically many rounds; a cycle ends where no pair is new or shorter.
     """
-    from ..session import materialize
-
-    known = materialize(edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("node"), F.lit(1).alias("depth")).distinct(), "reach")
-    step = known
-    for d in range(2, most + 1):
-        ahead = step.join(edges.select(F.col("parent").alias("node"), "child"), "node").select("ancestor", F.col("child").alias("node"), F.lit(d).alias("depth")).distinct()
-        step = materialize(ahead.join(known, ["ancestor", "node"], "left_anti"), "reach")
-        if step.isEmpty():
-            break
-        known = materialize(known.unionByName(step), "reach")
+    from ..session import drop, materialize
+
+    known = materialize(edges.select(F.col("parent").alias("ancestor"), F.col("child").alias("node"), F.lit(1).alias("depth")).filter("ancestor IS NOT NULL AND node IS NOT NULL").distinct(), "reach")
+    n = known.count()
+    while n:
+        ahead = known.select(F.col("ancestor").alias("node"), F.col("node").alias("below"), F.col("depth").alias("more"))
+        longer = known.join(ahead, "node").select("ancestor", F.col("below").alias("node"), (F.col("depth") + F.col("more")).alias("depth"))
+        both = known.withColumn("old", F.col("depth")).unionByName(longer.withColumn("old", F.lit(None).cast("int")))
+        now = materialize(both.groupBy("ancestor", "node").agg(F.min("depth").alias("depth"), F.min("old").alias("old")), "reach")
+        n = now.filter("old IS NULL OR depth < old").count()
+        drop(known)
+        known = now.drop("old")
+        known._weftline_path = now._weftline_path
     return known
 
 

@@ -109,13 +109,16 @@ def rendered_candidates(rows: DataFrame, doc: str) -> DataFrame:
 
 
 def deck_outline(titles: DataFrame, deck: str) -> DataFrame:
-    """(deck, page, number, title, depth, end_page) of pages titled by a number: depth by dots, end before the next as high."""
-    p = r"^(\d+(?:\.\d+)*)\.?\s+(\S.*)$"
-    t = titles.filter(F.col("title").rlike(p)).select(deck, "page", F.regexp_extract("title", p, 1).alias("number"), F.regexp_extract("title", p, 2).alias("title"))
-    t = t.withColumn("depth", F.size(F.split("number", r"\.")))
-    ahead = f"OVER (PARTITION BY {deck} ORDER BY page ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)"
-    nxt = F.least(*[F.when(F.col("depth") >= k, F.expr(f"min(CASE WHEN depth = {k} THEN page END) {ahead}")) for k in range(1, 7)], F.lit(None).cast("int"))
-    return t.withColumn("end_page", nxt - 1)
+    """(deck, page, number, title, depth, end_page) of pages titled by a number: depth by dots, end before the next as high.
+
+    Pages with equal numbers are told apart by their title.
+    """
+    from .elements import outline
+
+    n = X.leading_number("title")
+    t = titles.select(deck, "page", n["number"].alias("number"), n["rest"].alias("rest")).filter("number IS NOT NULL")
+    heads = t.select(deck, F.col("page").alias("line_no"), F.col("rest").alias("heading"), F.size(F.split("number", r"\.")).alias("level"), "number")
+    return outline(heads, deck).select(deck, F.col("line_no").alias("page"), "number", F.col("heading").alias("title"), F.col("level").alias("depth"), F.col("end_line").alias("end_page"))
 
 
 def resolved_outline(entries: list[tuple[int, str]], titles: list[tuple[int, str]]) -> list[tuple[int, str, int]]:
@@ -247,8 +250,8 @@ def schema_rows(df: DataFrame, entity: str) -> list[tuple[str, str, str]]:
 
 
 def with_overrides(figures: DataFrame, overrides: DataFrame, key: str, value: str) -> DataFrame:
-    """Figures with the override of their key where there is one, and whether it was used."""
-    o = overrides.select(key, F.col(value).alias("_o")).dropDuplicates([key])
+    """Figures with the override of their key (the greatest where it is given twice) where there is one, and whether it was used."""
+    o = overrides.groupBy(key).agg(F.max(value).alias("_o"))
     return figures.join(o, key, "left").withColumn("overridden", F.col("_o").isNotNull()).withColumn(value, F.coalesce("_o", value)).drop("_o")
 
 

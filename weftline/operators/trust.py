@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-import re
 from itertools import combinations
 
 import pandas as pd
@@ -13,76 +11,18 @@ from pyspark.sql.types import ArrayType, StringType
 
 from ..functions import recognise as R
 from ..functions import text as X
-
-# Phrases of a last-time-buy date, word by word; ltb stands alone.
-PHRASES = (("last", "time", "buy"), ("last", "time", "to", "buy"), ("last", "order", "date"), ("last", "order"), ("last", "buy"), ("lifetime", "buy"), ("life", "time", "buy"), ("ltb",))
-#: A date qualifies if it begins so many characters after a phrase or ends so many before it.
-AFTER, BEFORE, CONTEXT, GOVERNING, MOST = 120, 80, 80, 48, 8
-
-_PHRASE = [re.compile(r"\b" + r"[\s-]*".join(w) + r"\b", re.IGNORECASE) for w in PHRASES]
-_M = {name: i for i, m in enumerate(X.MONTHS, 1) for name in {m, m[:3], "sept" if m == "september" else m}}
-_DATES = [
-    re.compile(r"\b(?P<d>\d{1,2})\s+(?P<b>[A-Za-z]{3,9})\.?(?:,\s*|\s+)(?P<y>\d{4})\b"),
-    re.compile(r"\b(?P<b>[A-Za-z]{3,9})\.?\s+(?P<d>\d{1,2})(?:,\s*|\s+)(?P<y>\d{4})\b"),
-    re.compile(r"\b(?P<d>\d{1,2})-(?P<b>[A-Za-z]{3,9})-(?P<y>\d{4}|\d{2})\b"),
-    re.compile(r"\b(?P<m>\d{1,2})/(?P<d>\d{1,2})/(?P<y>\d{4})\b"),
-    re.compile(r"\b(?P<y>\d{4})-(?P<m>\d{2})-(?P<d>\d{2})\b"),
-    re.compile(r"\b(?P<y>\d{4})/(?P<m>\d{2})/(?P<d>\d{2})\b"),
-]
-
-
-def date_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, ISO date) of the dates in a text; an earlier notation claims its span, impossible dates are dropped."""
-    found: list[tuple[int, int, str]] = []
-    for p in _DATES:
-        for m in p.finditer(text):
-            g = m.groupdict()
-            month = int(g["m"]) if g.get("m") else _M.get(g["b"].lower())
-            year = int(g["y"]) + (2000 if len(g["y"]) == 2 else 0)
-            if month is None or any(m.start() < b and a < m.end() for a, b, _ in found):
-                continue
-            try:
-                found.append((m.start(), m.end(), dt.date(year, month, int(g["d"])).isoformat()))
-            except ValueError:
-                continue
-    return sorted(found)
-
-
-def phrase_spans(text: str) -> list[tuple[int, int, str]]:
-    """(start, end, phrase) of the phrases, longer ones first where they overlap."""
-    out: list[tuple[int, int, str]] = []
-    for words, p in sorted(zip(PHRASES, _PHRASE), key=lambda x: -len(x[0])):
-        for m in p.finditer(text):
-            if not any(m.start() < b and a < m.end() for a, b, _ in out):
-                out.append((m.start(), m.end(), " ".join(words)))
-    return sorted(out)
-
-
-def dated_phrases(text: str) -> list[tuple[str, str, str, str, str]]:
-    """(iso, source, phrase, governing, snippet) of dates near a phrase: by position, each date once, at most MOST."""
-    phrases = phrase_spans(text)
-    out, seen = [], set()
-    for a, b, iso in date_spans(text):
-        near = [(a - y if a >= y else x - b, x, p) for x, y, p in phrases if 0 <= a - y <= AFTER or 0 <= x - b <= BEFORE]
-        if not near or iso in seen:
-            continue
-        seen.add(iso)
-        _, _, phrase = min(near)
-        lo, hi = max(0, a - CONTEXT), min(len(text), b + CONTEXT)
-        out.append((iso, text[a:b], phrase, " ".join(text[max(0, a - GOVERNING) : a].split()), ("..." if lo else "") + text[lo:hi] + ("..." if hi < len(text) else "")))
-    return out[:MOST]
-
+from ..functions.notices import dated_phrases
 
 def scanned_dates(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, n, iso, source, phrase, governing) of all texts; null texts give nothing."""
+    """(key, n, iso, source, phrase, governing, snippet) of all texts; null texts give nothing."""
     kind = dict(texts.dtypes)[key]
 
     def run(batches):
         for pdf in batches:
-            rows = [(k, n, *r[:4]) for k, s in zip(pdf[key], pdf[text]) if s for n, r in enumerate(dated_phrases(s))]
-            yield pd.DataFrame(rows, columns=[key, "n", "iso", "source", "phrase", "governing"])
+            rows = [(k, n, *r) for k, s in zip(pdf[key], pdf[text]) if s for n, r in enumerate(dated_phrases(s))]
+            yield pd.DataFrame(rows, columns=[key, "n", "iso", "source", "phrase", "governing", "snippet"])
 
-    return texts.select(key, text).mapInPandas(run, f"{key} {kind}, n int, iso string, source string, phrase string, governing string")
+    return texts.select(key, text).mapInPandas(run, f"{key} {kind}, n int, iso string, source string, phrase string, governing string, snippet string")
 
 
 def reading_key(c: Column | str) -> Column:

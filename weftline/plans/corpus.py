@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import recognise as R
 from ..functions import text as X
 from ..operators import elements as E
 from ..session import table
@@ -73,12 +74,14 @@ def uri_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stated_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers of things that notices state: the first plausible one, years and identifiers left out."""
-    p = r"(?<![\w.\-/#,])(\d[\d,]{0,6})\s+(?:[\w/.\-]+\s+){0,3}?(?:weeks?|parts?|devices?|items?)\b"
-    raw = F.regexp_replace(F.regexp_extract("summary", p, 1), r",+$", "")
-    n = F.when(raw != "", F.replace(raw, F.lit(","), F.lit("")).cast("int"))
-    year = ~raw.rlike(r"^\d{1,3}(,\d{3})+$") & n.between(1900, 2100) & (F.length(raw) == 4)
-    return table(spark, sf_dir, "notice_headers").select("notice_id", F.when(~year & (n <= 5000), n).alias("stated"))
+    """Numbers of parts that the summaries of notices state."""
+    return table(spark, sf_dir, "notice_headers").select("notice_id", R.stated_count("summary").alias("stated"))
+
+
+def document_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of parts that documents state, behind a sentence that gives one."""
+    t = F.concat_ws(" ", F.concat(F.lit("About "), F.col("n_chars").cast("string"), F.lit(" of the")), "text")
+    return table(spark, sf_dir, "documents").select("doc_id", R.stated_count("text").alias("stated"), R.stated_count(t).alias("after_number"), R.stated_count(F.concat(F.lit("lists "), F.format_number("n_chars", 0), F.lit(" affected parts"))).alias("grouped"))
 
 
 def page_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,12 +103,34 @@ def fractions(boxes: DataFrame) -> DataFrame:
 
 QUERIES = {
     "text_layer_health": text_layer_health, "line_elements_running_page": line_elements_running_page, "outline_sections": outline_sections, "overlapping_chunks": overlapping_chunks,
-    "chunk_upsert_verdicts": chunk_upsert_verdicts, "page_layouts": page_layouts, "value_shapes": value_shapes, "typography_folds": typography_folds, "uri_labels": uri_labels, "stated_counts": stated_counts, "page_fractions": page_fractions,
+    "chunk_upsert_verdicts": chunk_upsert_verdicts, "page_layouts": page_layouts, "value_shapes": value_shapes, "typography_folds": typography_folds, "uri_labels": uri_labels, "stated_counts": stated_counts, "document_counts": document_counts, "page_fractions": page_fractions,
 }
 
 _COUNT = "len(list_filter(range(1, length(t)), lambda i: substr(t, i, 2) = '{0}'))"
 _LINES = "lines AS (SELECT section_id, unnest(range(len(string_split(content, chr(10))))) AS line_no, unnest(string_split(content, chr(10))) AS line FROM base_sections)"
-_FURN = "NOT (" + " OR ".join(f"regexp_matches(t, '{p}')" for p in X.FURNITURE) + ")"
+_W1 = "regexp_extract(lower(t), '^[a-z]*')"
+_REST = f"ltrim(regexp_replace(substr(lower(t), length({_W1}) + 1), '^\\.', ''))"
+_CODE = f"ltrim(regexp_replace({_REST}, '^[:-]', ''))"
+_IN = lambda words: ", ".join(f"'{w}'" for w in words)
+_FURN = f"""NOT (regexp_matches(lower(t), '^page +[0-9]+( +of +[0-9]+)?$') OR regexp_matches(t, '^[0-9]+$') OR ({_W1} IN ({_IN(X.REVISION_WORDS)}) AND regexp_matches({_CODE}, '^[a-z0-9.-]+$') AND length({_CODE}) <= 12)
+      OR lower(t) IN ({_IN(X.STATUS_LINES)}) OR lower(t) IN ('continued', '(continued)', '(continued', 'continued)', 'cont', '(cont)', '(cont', 'cont)', 'cont.', '(cont.)', '(cont.', 'cont.)') OR ({_W1} IN ({_IN(X.DATED_WORDS)}) AND regexp_matches({_REST}, '^(date ?)?[:-]')))"""
+_ADMON = f"rtrim(regexp_replace(lower(t), '[:.!]$', '')) IN ({_IN(X.ADMONITIONS)})"
+
+
+def _stated(text: str) -> str:
+    """The stated count of a text, over lists of words."""
+    noun = lambda i: f"coalesce(list_contains([{_IN(R.COUNTED)}], regexp_extract(w[{i}], '^[a-z0-9_]*')), false)"
+    plain = lambda i: f"coalesce(regexp_full_match(w[{i}], '[\\w/.-]+'), false)"
+    follows = noun("i + 4")
+    for k in (3, 2, 1):
+        follows = f"({noun(f'i + {k}')} OR ({plain(f'i + {k}')} AND {follows}))"
+    number = "regexp_matches(w[i], '^[^\\w.\\-/#,\\x{2010}-\\x{2015}\\x{2212}]*[0-9][0-9,]*$') AND length(regexp_extract(w[i], '[0-9,]*$')) <= 7"
+    words = f"string_split(trim(regexp_replace(lower({text}), '\\s+', ' ', 'g')), ' ')"
+    raw = f"(SELECT rtrim(regexp_extract(w[list_filter(range(1, len(w) + 1), lambda i: {number} AND {follows})[1]], '[0-9][0-9,]*$'), ',') FROM (SELECT {words} AS w))"
+    value = f"try_cast(replace({raw}, ',', '') AS INT)"
+    return f"CASE WHEN NOT ({value} BETWEEN 1900 AND 2100 AND length({raw}) = 4) AND {value} <= {R.MOST_STATED} THEN {value} END"
+
+
 _DIV = r"^(?:-+ *)?Page (\d+)(?: of \d+)?(?: *-+)?$"
 _KEPT = "list_filter([" + ", ".join(f"CASE WHEN control * {r} >= 5.0 THEN floor({p} / (control * {r}) * 10000 + 0.5) / 10000 END" for p, r in E.PAIR_RATIOS.items()) + "], lambda x: x IS NOT NULL)"
 _ROW = "(SELECT concat_ws('_p', node_id, CAST(page_start AS VARCHAR)) AS chunk_id, section_id, title AS vector FROM base_sections)"
@@ -119,7 +144,7 @@ SQL = {
       r AS (SELECT *, last_value(mark IGNORE NULLS) OVER (PARTITION BY section_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS page FROM m) SELECT section_id, line_no, line, page FROM r WHERE mark IS NULL""",
     "outline_sections": f"""WITH {_LINES}, x AS (SELECT section_id, line_no, trim(line) AS t FROM lines WHERE trim(line) <> ''), h AS (
         SELECT section_id, line_no, t AS heading, CASE WHEN regexp_matches(t, '^(\\d+(?:\\.\\d+)*)\\.?\\s+(\\S.*)$') THEN regexp_extract(t, '^(\\d+(?:\\.\\d+)*)\\.?\\s+(\\S.*)$', 1) END AS number FROM x
-        WHERE {_FURN} AND (regexp_matches(t, '^(\\d+(?:\\.\\d+)*)\\.?\\s+(\\S.*)$') OR (length(t) <= 48 AND regexp_matches(t, '\\p{{L}}') AND t = upper(t) AND NOT regexp_matches(t, '{X.ADMONITION}')))),
+        WHERE {_FURN} AND (regexp_matches(t, '^(\\d+(?:\\.\\d+)*)\\.?\\s+(\\S.*)$') OR (length(t) <= 48 AND regexp_matches(t, '\\p{{L}}') AND t = upper(t) AND NOT {_ADMON}))),
       l AS (SELECT *, CASE WHEN number IS NULL THEN 1 ELSE len(string_split(number, '.')) END AS level FROM h)
       SELECT section_id, line_no, heading, level, number, (SELECT max(b.line_no) FROM l b WHERE b.section_id = l.section_id AND b.line_no < l.line_no AND b.level < l.level) AS parent,
         (SELECT min(b.line_no) FROM l b WHERE b.section_id = l.section_id AND b.line_no > l.line_no AND b.level <= l.level) - 1 AS end_line FROM l""",
@@ -133,6 +158,8 @@ SQL = {
         regexp_replace(regexp_replace(regexp_replace(value, '\\p{{Lu}}', 'A', 'g'), '\\p{{Ll}}', 'a', 'g'), '\\p{{Nd}}', '9', 'g') AS shape, 'len=' || strlen(value) || ' sha256:' || left(sha256(value), 8) AS redacted,
         trim(value) <> '' AND length(trim(value)) <= 48 AND length(trim(value)) - length(regexp_replace(trim(value), '\\s', '', 'g')) <= 2 AND regexp_matches(value, '\\d') AND NOT ends_with(trim(value), ':') AS mpn, value AS bare FROM v WHERE value IS NOT NULL""",
     "typography_folds": "SELECT record_id, regexp_replace(translate(name, '‐‑‒–—―−‘’‚‛“”„‟', '-------''''''''\"\"\"\"'), '[\\x{00A0}\\x{1680}\\x{2000}-\\x{200A}\\x{202F}\\x{205F}\\x{3000}]', ' ', 'g') AS folded, regexp_replace(lower(replace(replace(replace(replace(replace(name, 'ﬀ', 'ff'), 'ﬁ', 'fi'), 'ﬂ', 'fl'), 'ﬃ', 'ffi'), 'ﬄ', 'ffl')), '\\s+', '', 'g') AS match_key, trim(regexp_replace(name, '\\s+', ' ', 'g')) AS squeezed FROM concept_records",
+    "stated_counts": f"SELECT notice_id, {_stated('summary')} AS stated FROM notice_headers",
+    "document_counts": f"""SELECT doc_id, {_stated('text')} AS stated, {_stated("concat_ws(' ', 'About ' || n_chars || ' of the', text)")} AS after_number, {_stated("'lists ' || format('{:,}', n_chars) || ' affected parts'")} AS grouped FROM documents""",
     "page_fractions": f"""WITH e AS (SELECT event_id, value, user_id, CASE WHEN event_id % 11 <> 0 THEN 120.0 END AS w FROM events) SELECT event_id, {', '.join(f'CASE WHEN value IS NOT NULL AND w IS NOT NULL AND NOT {_FLAT} THEN {c} END AS {n}' for c, n in zip(_CUT, ('x1', 'y1', 'x2', 'y2')))},
         CASE WHEN w IS NULL THEN 'no dims' WHEN {_FLAT} THEN 'degenerate' WHEN {' OR '.join(f'{r} < 0 OR {r} > 1' for r in _RAW)} THEN 'outside' END AS note FROM e""",
 }

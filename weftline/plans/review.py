@@ -104,9 +104,10 @@ def cell_recognition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def affected_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Notices whose summaries name an affected section, and their notice numbers."""
-    n = table(spark, sf_dir, "notice_headers")
-    return n.select("notice_id", R.names_affected_section(F.concat(F.when(F.col("notice_id") % 2 == 0, "Affected device ").otherwise(""), "summary")).alias("affected"), R.notice_number(F.concat(F.lit("see "), "doc_id", F.lit(", page 2"))).alias("number"))
+    """Documents that name an affected section as they stand and behind a title that ends in ``Affected``, and their notice numbers."""
+    d = table(spark, sf_dir, "documents")
+    text = F.concat_ws(" ", F.concat("title", F.lit(" affected")), "text")
+    return d.select("doc_id", R.names_affected_section("text").alias("affected"), R.names_affected_section(text).alias("titled"), R.notice_number("text").alias("number"))
 
 
 def escaped_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,9 +123,12 @@ def folded_concept_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def work_package_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kinds of work package tags made from process categories."""
-    tag = F.concat(F.lit("{ns}"), F.when(F.col("step_key") % 3 == 0, "MaintWP").when(F.col("step_key") % 3 == 1, "tswp").otherwise(F.col("process_category")))
-    return table(spark, sf_dir, "mfg_steps").groupBy(K.wp_kind(tag).alias("kind")).agg(F.count("*").alias("n"))
+    """Kinds of work package tags chosen by part keys among all tags, some in a name space, in capitals or unknown; the tally of those that fall through."""
+    tags = F.array(*[F.lit(t) for t in [*K.WP_KINDS, "nosuchwp"]])
+    tag = F.element_at(tags, (F.col("p_partkey") % len([*K.WP_KINDS, 0]) + 1).cast("int"))
+    tag = F.when(F.col("p_size") % 5 == 0, F.concat(F.lit("{urn:x}"), tag)).when(F.col("p_size") % 7 == 0, F.upper(tag)).otherwise(tag)
+    k = K.wp_kind(tag)
+    return table(spark, sf_dir, "part").groupBy(k["kind"].alias("kind"), k["fallthrough"].alias("fallthrough"), k["refused"].alias("refused")).agg(F.count("*").alias("n"))
 
 
 def provenance_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -141,6 +145,19 @@ def kept_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (threaded_grids, review_items, sourced_values, title_types, leaf_candidates, candidate_blocks, deck_outlines, packed_steps, reused_names, reading_gate, slide_backfill, synced_store, cell_recognition, affected_headings, escaped_names, folded_concept_ids, work_package_kinds, provenance_stamps, kept_dates)}
+_TAGS, _KINDS = (", ".join(f"'{x}'" for x in side) for side in zip(*K.WP_KINDS.items()))
+
+
+def _affected(text: str) -> str:
+    """Whether a text names an affected section, over lists of words."""
+    nouns = ", ".join(f"'{n}'" for n in R.AFFECTED_NOUNS)
+    head, last = "regexp_extract(w[i + {}], '^[a-z0-9_]*')", "regexp_extract(w[i], '[a-z0-9_]*$')"
+    between = "regexp_full_match(w[i + 1], '[a-z][a-z0-9&/-]*') AND length(w[i + 1]) <= 15"
+    forward = f"{last} = 'affected' AND ({head.format(1)} IN ({nouns}) OR ({between} AND {head.format(2)} IN ({nouns})))"
+    found = f"list_filter(range(1, len(w) + 1), lambda i: coalesce({forward}, false) OR coalesce({last} IN ({nouns}) AND {head.format(1)} = 'affected', false))"
+    return f"coalesce((SELECT len({found}) > 0 FROM (SELECT string_split(trim(regexp_replace(lower({text}), '\\s+', ' ', 'g')), ' ') AS w)), false)"
+
+
 _IRI = "name"
 for _c, _e in (("%", "%25"), (" ", "%20"), ('"', "%22"), ("<", "%3C"), (">", "%3E"), ("\\", "%5C"), ("^", "%5E"), ("`", "%60"), ("{", "%7B"), ("|", "%7C"), ("}", "%7D")):
     _IRI = f"replace({_IRI}, '{_c}', '{_e}')"
@@ -160,8 +177,9 @@ SQL = {
     "reading_gate": "WITH v AS (SELECT 'identity_present' AS rule, mfr IS NOT NULL AND doc_id IS NOT NULL AS ok FROM written_headers UNION ALL SELECT 'date_present', coalesce(trim(pub_date), '') <> '' FROM written_headers UNION ALL SELECT 'zone_known', site_tz IS NOT NULL FROM written_headers) SELECT rule, count(*) FILTER (NOT ok) AS failures, count(*) AS checked, rule = 'identity_present' AND count(*) FILTER (NOT ok) > 0 AS blocks FROM v GROUP BY 1",
     "slide_backfill": f"WITH {_SECS}, m AS (SELECT DISTINCT s.course_id, section, slide FROM slide_concepts s JOIN sec ON s.course_id = sec.course_id AND slide >= start AND (stop = 0 OR slide <= stop)) SELECT count(*) AS wanted, count(*) FILTER (slide % 2 <> 0) AS added, count(*) FILTER (slide % 2 = 0) AS had, true AS adds_up FROM m",
     "synced_store": "SELECT 'in' AS p, count(*) AS n FROM concept_records WHERE domain IS NOT NULL UNION ALL SELECT 'label', count(*) FROM concept_records WHERE name IS NOT NULL AND record_id % 3 <> 0",
-    "affected_headings": "SELECT notice_id, notice_id % 2 = 0 OR regexp_matches(summary, '(?i)\\baffected\\s+(?:[A-Za-z][A-Za-z0-9&/-]{0,14}\\s+)?(?:models?|parts?(?:\\s+numbers?)?|devices?)\\b|\\b(?:models?|parts?|devices?)\\s+affected\\b') AS affected, nullif(regexp_extract('see ' || doc_id || ', page 2', '(?i)\\b((?:PCN|PDN|PTN)[-#: ]{0,2}[A-Z0-9][A-Z0-9.-]{3,20})\\b', 1), '') AS number FROM notice_headers",
+    "affected_headings": f"SELECT doc_id, {_affected('text')} AS affected, {_affected("concat_ws(' ', title || ' affected', text)")} AS titled, nullif(regexp_extract(text, '{R.NOTICE_NUMBER}', 1), '') AS number FROM documents",
     "escaped_names": f"SELECT record_id, {_IRI} AS iri, replace(replace(replace(replace(replace(name, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t') AS literal FROM concept_records",
-    "work_package_kinds": "SELECT CASE step_key % 3 WHEN 0 THEN 'ProcedureDataModule' WHEN 1 THEN 'FaultIsolationDataModule' END AS kind, count(*) AS n FROM mfg_steps GROUP BY 1",
+    "work_package_kinds": f"""WITH k AS (SELECT unnest([{_TAGS}]) AS tag, unnest([{_KINDS}]) AS kind), t AS (SELECT p_size, [{_TAGS}, 'nosuchwp'][p_partkey % {len(K.WP_KINDS) + 1} + 1] AS tag FROM part), u AS (SELECT CASE WHEN p_size % 5 <> 0 AND p_size % 7 = 0 THEN upper(tag) ELSE tag END AS tag FROM t)
+      SELECT kind, CASE WHEN kind = 'DataModule' THEN u.tag END AS fallthrough, kind IS NULL AS refused, count(*) AS n FROM u LEFT JOIN k ON k.tag = u.tag GROUP BY ALL""",
     "provenance_stamps": "SELECT doc_id, coalesce(source, '') AS source, '' AS kind, coalesce(package, '') AS domain, '' AS ingest_id, '' AS parser, '' AS model, '' AS policy, coalesce(CAST(page_count AS VARCHAR), '') AS revision FROM documents",
 }
