@@ -287,3 +287,35 @@ def test_part_numbers(spark):
     assert scans.repair_codes(df.limit(0)).count() == 0
 
 
+
+
+def test_a_word_misread_twice_in_a_line_is_repaired_twice():
+    assert scans.rebuilt("the rnetal and rnetal part", [(0, "char", "metal")]) == "the metal and metal part"
+
+
+def test_folded_keys_are_shared_by_a_word_and_its_misreadings():
+    rng = random.Random(8)
+    for w in ("release", "clamp", "modern", "of", "Battery", "hydraulic", "Dial", "minimum", "elder"):
+        assert {misreads.fold_key(misreads.damage(w, rng, k)) for k in (1, 2, 3) for _ in range(30)} == {misreads.fold_key(w)}
+    assert set(scans.grams_of("0f")) & set(scans.grams_of("of")) and set(scans.grams_of("arn")) & set(scans.grams_of("am"))
+
+
+def test_short_words_and_columns_of_numbers(spark):
+    rng = random.Random(5)
+    words = "the old pump of this line is cleaned in a bath until it shines and then put back to its place on the bench".split()
+    book = []
+    for i in range(12):
+        lines = ["Plant Library Handbook"]
+        for k in range(14):
+            lines.append(" ".join(rng.choice(words) for _ in range(9)) + " of")
+        lines.insert(7, "work 0f the pump t0 the" if i < 4 else "work 0f the pump for the")
+        lines.insert(10, str(100 + i))
+        if i == 3:
+            lines[4:4] = ["17", "18", "19", "20"]
+        book.append((i, "b", "\n".join(lines)))
+    got = {(r["row_id"], r["item_pos"], r["noise"], r["fixed"]) for r in scans.repair_content(spark.createDataFrame(book, "section_id long, package_id string, content string")).collect()}
+    assert {(i, "of") for i in range(12)} <= {(a, d) for a, _, c, d in got if c == "char"}
+    assert {(i, "to") for i in range(4)} <= {(a, d) for a, _, c, d in got if c == "char"}
+    pages = {(a, b) for a, b, c, _ in got if c == "page_no"}
+    assert len([p for p in pages if p[0] != 3]) == 11
+    assert not {(3, k) for k in (4, 5, 6, 7)} & pages

@@ -29,6 +29,17 @@ def fold(s: str) -> str:
     return s.translate(_FOLD)
 
 
+_CLASSES = str.maketrans({"e": "c", "1": "l", "i": "l", "|": "l", "0": "o", "a": "o", "5": "s", "9": "g", "6": "g", "b": "g", "h": "g", "8": "g", "t": "f", "2": "z"})
+
+
+def fold_key(s: str) -> str:
+    """A key that a word shares with all its misreadings of the table: characters by class, then the two sequences."""
+    s = s.lower().translate(_CLASSES)
+    for a, b in _FOLDS:
+        s = s.replace(a, b)
+    return s
+
+
 @functools.lru_cache(maxsize=200_000)
 def explain(read: str, right: str, most: int = 3) -> int:
     """The least number of misreadings that turn ``right`` into ``read``; ``most`` + 1 if more or impossible."""

@@ -1,7 +1,7 @@
 """Noise in text from scanned pages (problem 6).
 
 Pages: a boosted classifier of line pairs tells running headers, footers and page numbers from text by
-their repetition within the book, their shape, and whether the text flows on across them; another
+their repetition within the book, their shape, numbers near them, and whether the text flows on across them; another
 decides how the halves of a word broken at a line end are joined. Words that the corpus does not know
 meet correction candidates through an inverted join of character q-grams, and a boosted ranker, trained
 on simulated misreadings of the corpus's own words, chooses among them.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import random
 import re
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,7 +28,7 @@ from pyspark.sql import types as T
 
 from ..session import materialize, parallelism, table
 from .boost import Booster
-from .misreads import HOUSE, code_misreads, damage, explain, fold, house_number
+from .misreads import HOUSE, code_misreads, damage, explain, fold, fold_key, house_number
 from .spread import spread
 from .textdist import osa
 
@@ -46,6 +47,8 @@ TIMES = 8
 #: q-grams of words, and how many of a word's rarest must be looked up: three misreadings of at most
 #: four grams each, or all, destroy fewer.
 Q, RAREST = 3, 13
+#: Words of so many characters have their folded whole as a q-gram; candidates may be so many characters longer or shorter.
+SHORT, MOST_LONGER = 4, 3
 
 _PAGE = re.compile(r"[\s\[(<|~*–—-]*(?:(?:[Pp]age|PAGE|Seite|SEITE|[Pp]g?\.?)\s*)?[0-9oOlISZB]{1,4}(?:\s*(?:of|OF|von|/)\s*[0-9oOlISZB]{1,4})?[\s\])>|~*–—-]*")
 _DIGITLIKE = re.compile(r"[0-9oOlISsZzBi|]{1,4}")
@@ -70,7 +73,7 @@ def is_page_number(line: str) -> bool:
     return bool(_PAGE.fullmatch(line.strip())) and any(c.isdigit() for c in line)
 
 
-LINES = "section_id long, package_id string, content_key string, line_no int, text string, key string, first boolean, flows boolean, upper_start boolean, stopped boolean, title_share double, numbered boolean, width double"
+LINES = "section_id long, package_id string, content_key string, line_no int, text string, key string, first boolean, flows boolean, upper_start boolean, stopped boolean, title_share double, numbered boolean, width double, page_shape boolean, numbers_near int, blank_near boolean"
 
 
 def _line_batches(batches):
@@ -81,6 +84,7 @@ def _line_batches(batches):
             full = [i for i, x in enumerate(lines) if x.strip()]
             width = max((len(lines[i]) for i in full), default=1)
             at = {i: k for k, i in enumerate(full)}
+            shaped = [is_page_number(lines[i]) for i in full]
             for i in full:
                 x = lines[i].strip()
                 k = at[i]
@@ -91,7 +95,7 @@ def _line_batches(batches):
                 title = sum(w[0].isupper() for w in words) / len(words) if words else 0.0
                 a, b = x.split()[0], x.split()[-1]
                 numbered = bool(_DIGITLIKE.fullmatch(b) or _DIGITLIKE.fullmatch(a)) and "  " in x
-                rows.append((sid, pkg, ck, i, lines[i], line_key(x), k == 0, flows, x[0].isupper() or x[0].isdigit(), x[-1] in ".!?;,:", title, numbered, len(x) / width))
+                rows.append((sid, pkg, ck, i, lines[i], line_key(x), k == 0, flows, x[0].isupper() or x[0].isdigit(), x[-1] in ".!?;,:", title, numbered, len(x) / width, shaped[k], sum(shaped[max(0, k - 2) : k] + shaped[k + 1 : k + 3]), i == 0 or not lines[i - 1].strip() or i + 1 >= len(lines) or not lines[i + 1].strip()))
         yield pd.DataFrame(rows, columns=[c.split()[0] for c in LINES.split(", ")])
 
 
@@ -113,7 +117,7 @@ def scanned(lines: DataFrame) -> DataFrame:
     return b.join(s, (F.col("b.package_id") == F.col("s.package_id")) & F.col("b.alone").eqNullSafe(F.col("s.alone")), "left_semi").drop("alone")
 
 
-FURNITURE = ["share", "n_lines", "book_share", "first", "flows", "upper_start", "stopped", "title_share", "numbered", "width"]
+FURNITURE = ["share", "n_lines", "book_share", "first", "flows", "upper_start", "stopped", "title_share", "numbered", "width", "page_shape", "numbers_near", "blank_near"]
 
 
 def with_repetition(lines: DataFrame) -> DataFrame:
@@ -135,12 +139,15 @@ def furniture_model(lines: DataFrame) -> Booster:
     """A classifier of running lines, fitted on lines whose repetition or shape alone tells what they are."""
     sure_yes = F.col("first") & (F.col("share") >= 0.7) & (F.col("sections") >= 3) & ~F.col("stopped") & (F.col("title_share") >= 0.5)
     sure_yes = sure_yes | ((F.col("book_share") >= COMMON_SHARE) & (F.col("title_share") > 0) & ~F.col("stopped") & F.col("upper_start") & (F.col("key") != "")) | (F.col("flows") & (F.col("share") >= 0.3) & (F.col("sections") >= 4) & F.col("upper_start"))
-    sure_no = F.col("stopped") | ~F.col("upper_start") | ((F.col("n_lines") == 1) & (F.col("book_share") < COMMON_SHARE) & ~F.col("first"))
+    # A line with nothing but a number is a page number where no other stands near it; columns of numbers are text.
+    page = F.col("page_shape")
+    sure_yes = F.when(page, F.col("numbers_near") == 0).otherwise(sure_yes)
+    sure_no = F.when(page, F.col("numbers_near") >= 2).otherwise(F.col("stopped") | ~F.col("upper_start") | ((F.col("n_lines") == 1) & (F.col("book_share") < COMMON_SHARE) & ~F.col("first")))
     labelled = lines.withColumn("y", F.when(sure_yes & ~sure_no, 1).when(sure_no & ~sure_yes, 0)).filter("y IS NOT NULL")
     # A bounded sample by hash, the same whatever the partitioning.
     h = F.expr("xxhash64(package_id, section_id, line_no)")
-    parts = [labelled.filter(F.col("y") == y).orderBy(h).limit(SAMPLE // 2) for y in (0, 1)]
-    pdf = parts[0].unionByName(parts[1]).select(*FURNITURE, "y").toPandas()
+    parts = [labelled.filter((F.col("y") == y) & (page == shaped)).orderBy(h).limit(SAMPLE // 4) for y in (0, 1) for shaped in (False, True)]
+    pdf = reduce(DataFrame.unionByName, parts).select(*FURNITURE, "y").toPandas()
     return Booster().fit(pdf[FURNITURE].astype(float).to_numpy(), pdf["y"].to_numpy())
 
 
@@ -155,8 +162,9 @@ def classified_lines(lines: DataFrame) -> DataFrame:
         p = model.value.score(np.column_stack([f.astype(float).to_numpy() for f in features]))
         _, n, common, first, _, _, stopped = (f.astype(float).to_numpy() for f in features[:7])
         # What stands once in its book and is not common to books runs nowhere, unless it heads its page; sentences end, running lines do not.
-        never = (first == 0) & ((n <= 1) & (common < COMMON_SHARE) | (stopped > 0))
-        return pd.Series(["page_no" if is_page_number(t) else "header" if x > 0.5 and not a else "text" for t, x, a in zip(text, p, never)])
+        shaped = features[FURNITURE.index("page_shape")].to_numpy(dtype=bool)
+        never = ~shaped & (first == 0) & ((n <= 1) & (common < COMMON_SHARE) | (stopped > 0))
+        return pd.Series(np.where((p <= 0.5) | never, "text", np.where(shaped, "page_no", "header")))
 
     return known.withColumn("kind", kind("text", *FURNITURE)).select("section_id", "line_no", "text", "kind")
 
@@ -199,14 +207,15 @@ def _token_batches(batches):
 
 
 def grams_of(word: str) -> list[str]:
-    """The distinct q-grams of a padded word."""
+    """The distinct q-grams of a padded word; of a short one, that a single misreading leaves no q-gram of, its folded whole too."""
     s = f"^{word.lower()}$"
-    return sorted({s[i : i + Q] for i in range(max(1, len(s) - Q + 1))})
+    grams = {s[i : i + Q] for i in range(max(1, len(s) - Q + 1))}
+    return sorted(grams | {f"~{fold_key(word)}"} if len(word) <= SHORT else grams)
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _grams_udf(words: pd.Series) -> pd.Series:
-    return words.map(grams_of)
+@F.pandas_udf(T.StructType([T.StructField("grams", T.ArrayType(T.StringType())), T.StructField("folded", T.StringType())]))
+def _grams_udf(words: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame({"grams": words.map(grams_of), "folded": words.map(fold_key)})
 
 
 RANK = ["misreads", "edits", "log_n", "log_ratio", "digit_inside", "length", "same_start"]
@@ -270,12 +279,18 @@ def corrections(suspects: DataFrame, trusted: DataFrame) -> DataFrame:
     ranker is taken if it is probable, explained by misreadings, and TIMES as frequent.
     """
     spark = suspects.sparkSession
-    index = materialize(trusted.withColumn("gram", F.explode(_grams_udf("known"))), "grams")
+    # Words meet by q-gram and band of length, so that a common gram of short words meets no long ones.
+    band = lambda n: F.floor(n / (MOST_LONGER + 1))
+    index = trusted.withColumn("_g", _grams_udf("known")).select("known", "n", F.explode("_g.grams").alias("gram"), F.col("_g.folded").alias("target"), band(F.length("known")).alias("band"))
+    index = materialize(index, "grams")
     df = index.groupBy("gram").agg(F.count("*").alias("df"))
-    asked = suspects.withColumn("gram", F.explode(_grams_udf("word"))).join(df, "gram")
+    asked = suspects.withColumn("_g", _grams_udf("word")).select("word", "n", F.explode("_g.grams").alias("gram"), F.col("_g.folded").alias("folded")).join(df, "gram")
     rank = F.expr("row_number() OVER (PARTITION BY word ORDER BY df, gram)")
-    asked = asked.withColumn("r", rank).filter(F.col("r") <= RAREST).select("word", F.col("n").alias("own"), "gram")
-    pairs = asked.join(index, "gram").filter((F.col("n") >= TIMES * F.col("own")) & (F.abs(F.length("word") - F.length("known")) <= 3)).select("word", "own", "known", "n").distinct()
+    bands = F.sequence(band(F.length("word") - MOST_LONGER), band(F.length("word") + MOST_LONGER))
+    asked = asked.withColumn("r", rank).filter(F.col("r") <= RAREST).select("word", F.col("n").alias("own"), "gram", "folded", F.explode(bands).alias("band"))
+    # What the table of misreadings explains has the same folded form: the others need no scoring.
+    fits = (F.col("folded") == F.col("target")) & (F.col("n") >= TIMES * F.col("own")) & (F.abs(F.length("word") - F.length("known")) <= MOST_LONGER)
+    pairs = asked.join(index, ["gram", "band"]).filter(fits).select("word", "own", "known", "n").distinct()
     sample = [(r[0], r[1]) for r in trusted.filter("length(known) >= 3").orderBy(F.expr("xxhash64(known)")).limit(SAMPLE).collect()]
     model = spark.sparkContext.broadcast(word_ranker(sample))
 
@@ -379,7 +394,8 @@ def repair_content(sections: DataFrame) -> DataFrame:
     # Suspects: words of scanned text; a frequent misreading is no more trusted than a rare one, so all are
     # asked but those that occur often and have no digit inside a word - these are weighed by TIMES.
     words = tokens.filter("word IS NOT NULL").select("word").distinct()
-    suspects = words.join(counts, "word").filter(F.length("word") >= 3).select("word", "n")
+    # Of two characters only those with a digit: a wrong letter leaves no trace in so short a word.
+    suspects = words.join(counts, "word").filter((F.length("word") >= 3) | ((F.length("word") == 2) & F.col("word").rlike("[0-9]"))).select("word", "n")
     broken = materialize(repaired_joins(tokens.filter("left IS NOT NULL"), lower, trusted), "broken")
     odd = broken.filter("known = 0").select(F.col("fixed").alias("word"), F.lit(1).cast("long").alias("n")).distinct()
     fixes = materialize(corrections(suspects.unionByName(odd).groupBy("word").agg(F.min("n").alias("n")), trusted), "fixes")
@@ -497,7 +513,6 @@ def rebuilt(content: str, noise: list[tuple[int, str, str]]) -> str:
                     c = core_of(w)
                     if c and c != fixed and explain(c if not c.isupper() else c.lower(), fixed.lower()) <= 3 and not c.islower() - fixed.islower():
                         words[j] = w.replace(c, fixed)
-                        break
         h = [f for k, f in kinds if k == "hyphen"]
         if h:
             carry = h[0]
@@ -522,4 +537,12 @@ def p6_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.mapInPandas(_rebuild(HYPHENS), "section_id long, content string")
 
 
-QUERIES = {"p6_found": p6_found, "p6_repaired": p6_repaired}
+def p6_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(step_key, numbers) of every step that had a damaged part number: its list with the right numbers in place."""
+    steps = table(spark, sf_dir, "mfg_steps").select("procedure_id", "step_key", F.posexplode("internal_part_numbers").alias("item_pos", "value"))
+    fixes = repair_codes(steps.filter("value IS NOT NULL").withColumnRenamed("step_key", "row_id")).select(F.col("row_id").alias("step_key"), "item_pos", "fixed")
+    whole = steps.join(fixes, ["step_key", "item_pos"], "left").groupBy("step_key").agg(F.array_sort(F.collect_list(F.struct("item_pos", F.coalesce("fixed", "value").alias("v")))).alias("l"), F.count("fixed").alias("repaired"))
+    return whole.filter("repaired > 0").select("step_key", F.transform("l", lambda x: x["v"]).alias("numbers"), "repaired")
+
+
+QUERIES = {"p6_found": p6_found, "p6_repaired": p6_repaired, "p6_numbers": p6_numbers}
