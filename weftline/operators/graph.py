@@ -100,3 +100,13 @@ def remapped(edges: DataFrame, survivors: DataFrame) -> DataFrame:
     d = survivors.select(F.col("old").alias("dst"), F.col("new").alias("nd"))
     e = edges.join(s, "src", "left").join(d, "dst", "left").select(F.coalesce("ns", "src").alias("src"), "rel", F.coalesce("nd", "dst").alias("dst"))
     return e.filter("src <> dst").distinct()
+
+
+def drifted(expected: DataFrame, actual: DataFrame, key: str, content: str) -> DataFrame:
+    """(key, state): missing, unexpected, changed or in_sync of two sets of named contents, white space at their ends aside.
+
+    A key that a side gives twice counts once, with its greatest content; a null content is an empty one.
+    """
+    side = lambda d, name: d.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.trim(F.coalesce(content, F.lit("")))).alias(name))
+    j = side(expected, "_e").join(side(actual, "_a"), key, "full_outer")
+    return j.select(key, F.when(F.col("_a").isNull(), "missing").when(F.col("_e").isNull(), "unexpected").when(F.col("_e") != F.col("_a"), "changed").otherwise("in_sync").alias("state"))

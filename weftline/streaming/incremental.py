@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import fresh_path, materialize
+from ..session import drop_path, fresh_path, materialize
 from .state import BucketedTable
 
 SEEN = "file_name string, bytes long, arrived timestamp"
@@ -81,3 +81,37 @@ def sessions(events: DataFrame, at: str, user: str, gap: str) -> DataFrame:
     """(user, session_start, session_end, n): runs of events of a user with pauses shorter than ``gap``."""
     g = events.groupBy(F.session_window(at, gap), user).agg(F.count("*").alias("n"))
     return g.select(user, F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n")
+
+
+def approval_runs(rows: DataFrame, key: str, at: str, props: str, most: int = 50) -> DataFrame:
+    """(key, run_key) of the ``most`` rows changed last: the key and a hash of the row's properties.
+
+    ``props`` is a map column. The same content gives the same run key at every poll, whatever the order of
+    the properties, so it starts once; a changed one gives another. Ties of time go by run key; a null key starts
+    nothing. The limit is the poll's own.
+    """
+    pairs = F.array_sort(F.transform(F.map_entries(F.coalesce(props, F.create_map().cast("map<string,string>"))), lambda e: F.concat_ws("=", e["key"], e["value"])))
+    run = F.concat_ws("_", F.col(key).cast("string"), F.left(F.sha2(F.array_join(pairs, "|"), 256), F.lit(12)))
+    r = rows.filter(F.col(key).isNotNull()).select(key, F.col(at).alias("_at"), run.alias("run_key"))
+    return r.orderBy(F.col("_at").desc_nulls_last(), "run_key").limit(most).select(key, "run_key").distinct()
+
+
+def publish_heartbeats(spark: SparkSession, payload: DataFrame, path: str, every: str = "30 seconds", beats: int | None = None) -> int:
+    """Write ``payload`` and the time to ``path`` at every beat, each time in place of the last; the number of beats written.
+
+    A reader sees the newest beat under its own number. Without ``beats`` it goes on until the query is stopped.
+    """
+    written = {"n": 0}
+
+    def beat(_batch: DataFrame, number: int) -> None:
+        payload.withColumns({"beat": F.lit(number), "at": F.current_timestamp()}).coalesce(1).write.mode("overwrite").json(f"{path}/beat={number}")
+        if number > 1:
+            drop_path(spark, f"{path}/beat={number - 2}")
+        written["n"] += 1
+
+    q = spark.readStream.format("rate").option("rowsPerSecond", 1).load().writeStream.foreachBatch(beat).option("checkpointLocation", f"{path}-checkpoint").trigger(processingTime=every).start()
+    while beats is None or written["n"] < beats:
+        if q.awaitTermination(1):
+            break
+    q.stop()
+    return written["n"]
