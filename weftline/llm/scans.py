@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize, parallelism, table
+from ..session import drop, materialize, parallelism, table
 from .boost import Booster
 from .misreads import HOUSE, code_misreads, damage, explain, fold, fold_key, house_number
 from .spread import spread
@@ -166,7 +166,9 @@ def classified_lines(lines: DataFrame) -> DataFrame:
         never = ~shaped & (first == 0) & ((n <= 1) & (common < COMMON_SHARE) | (stopped > 0))
         return pd.Series(np.where((p <= 0.5) | never, "text", np.where(shaped, "page_no", "header")))
 
-    return known.withColumn("kind", kind("text", *FURNITURE)).select("section_id", "line_no", "text", "kind")
+    kinds = materialize(known.withColumn("kind", kind("text", *FURNITURE)).select("section_id", "line_no", "text", "kind"), "kinds")
+    drop(known)
+    return kinds
 
 
 def core_of(token: str) -> str:
@@ -306,7 +308,9 @@ def corrections(suspects: DataFrame, trusted: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"word": [w for w, _, _ in keep], "fixed": [cased(w, k) for w, k, _ in keep], "p": p, "misreads": [int(f[0]) for _, _, f in keep]})
 
     scored = pairs.repartition(parallelism(spark)).mapInPandas(score, "word string, fixed string, p double, misreads int").filter("p > 0.5 AND fixed <> word")
-    return settled(scored.groupBy("word").agg(F.max_by("fixed", F.struct(-F.col("misreads"), "p", "fixed")).alias("fixed")), trusted)
+    best = materialize(scored.groupBy("word").agg(F.max_by("fixed", F.struct(-F.col("misreads"), "p", "fixed")).alias("fixed")), "best")
+    drop(index)
+    return settled(best, trusted)
 
 
 @F.pandas_udf(T.StringType())
@@ -322,7 +326,6 @@ def settled(fixes: DataFrame, trusted: DataFrame) -> DataFrame:
     known = lambda word, n: trusted.select(F.col("known").alias(word), F.col("n").alias(n))
     on = fixes.filter(F.col("word") == F.lower("word")).select(F.col("word").alias("via"), F.lower("fixed").alias("next"))
     on = materialize(on.join(known("via", "n_via"), "via").join(known("next", "n_next"), "next").filter(F.col("n_next") >= TIMES * F.col("n_via")).select("via", "next"), "onward")
-    fixes = materialize(fixes, "chosen")
     while not fixes.join(on, F.lower("fixed") == F.col("via"), "left_semi").isEmpty():
         step = fixes.join(on, F.lower("fixed") == F.col("via"), "left")
         fixes = materialize(step.select("word", F.when(F.col("next").isNull(), F.col("fixed")).otherwise(_cased_udf("word", F.coalesce("next", "fixed"))).alias("fixed")), "chosen")
@@ -376,7 +379,7 @@ def repaired_joins(broken: DataFrame, counts: DataFrame, trusted: DataFrame) ->
 def repair_content(sections: DataFrame) -> DataFrame:
     """(row_id, item_pos, noise, fixed) of the noise in scanned (section_id, package_id, content)."""
     lines = materialize(lines_of(sections), "lines")
-    kinds = materialize(classified_lines(lines), "kinds")
+    kinds = classified_lines(lines)
     furniture = kinds.filter("kind <> 'text'").select(F.col("section_id").alias("row_id"), F.col("line_no").alias("item_pos"), F.col("kind").alias("noise"), F.lit("").alias("fixed"))
     text = kinds.filter("kind = 'text'").select(
         "section_id", "line_no", "text",
@@ -396,9 +399,12 @@ def repair_content(sections: DataFrame) -> DataFrame:
     words = tokens.filter("word IS NOT NULL").select("word").distinct()
     # Of two characters only those with a digit: a wrong letter leaves no trace in so short a word.
     suspects = words.join(counts, "word").filter((F.length("word") >= 3) | ((F.length("word") == 2) & F.col("word").rlike("[0-9]"))).select("word", "n")
+    drop(lines)
     broken = materialize(repaired_joins(tokens.filter("left IS NOT NULL"), lower, trusted), "broken")
+    drop(lower)
     odd = broken.filter("known = 0").select(F.col("fixed").alias("word"), F.lit(1).cast("long").alias("n")).distinct()
     fixes = materialize(corrections(suspects.unionByName(odd).groupBy("word").agg(F.min("n").alias("n")), trusted), "fixes")
+    drop(counts, trusted)
     chars = tokens.filter("word IS NOT NULL").join(fixes, "word").select(F.col("section_id").alias("row_id"), F.col("line_no").alias("item_pos"), F.lit("char").alias("noise"), "fixed")
     whole = broken.withColumnRenamed("fixed", "word").join(fixes, "word", "left").select("left", "mark", "right", F.coalesce("fixed", "word").alias("fixed"))
     hyphens = tokens.filter("left IS NOT NULL").join(whole, ["left", "mark", "right"]).select(F.col("section_id").alias("row_id"), F.col("line_no").alias("item_pos"), F.lit("hyphen").alias("noise"), "fixed")
