@@ -105,6 +105,12 @@ def abbreviates(short: str, long: str) -> bool:
     return all(c in it for c in short)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _written_out_udf(words: pd.Series) -> pd.Series:
+    """The first letter with every two later ones in order: what a code of three letters and more begins with that stands for the word."""
+    return words.map(lambda w: sorted({w[0] + a + b for i, a in enumerate(w[1:], 1) for b in w[i + 1 :]}))
+
+
 @F.pandas_udf(T.DoubleType())
 def _similarity_udf(typed: pd.Series, known: pd.Series) -> pd.Series:
     return pd.Series([0.95 if abbreviates(k, t) else token_similarity(t, k) for t, k in zip(typed, known)])
@@ -149,18 +155,26 @@ def map_entries(entries: DataFrame, terms: DataFrame, least: float = LEAST_SCORE
     typed = materialize(spelled.select("kind", "typed").distinct(), "typed")
     forms = typed.withColumn("form", F.explode(F.array_distinct(F.array("typed", F.expr("CASE WHEN length(typed) > 4 AND typed LIKE '%s' THEN left(typed, length(typed) - 1) ELSE typed END")))))
     near = forms.withColumn("key", F.explode(_deletions_udf("form"))).join(vocab, ["kind", "key"]).select("kind", "typed", "known", "means").distinct()
-    short = vocab.filter("size(means) = 1 AND length(known) BETWEEN 3 AND 4 AND key = known").select("kind", "known", "means").withColumn("initial", F.left("known", F.lit(1))).distinct()
-    spelt_out = typed.filter("length(typed) > 4").withColumn("initial", F.left("typed", F.lit(1))).join(short, ["kind", "initial"]).select("kind", "typed", "known", "means")
+    # Codes that stand for a word written out: they meet by their first three letters, in coded kinds only.
     coded_kinds = coded.filter("coded").select("kind")
+    short = vocab.filter("size(means) = 1 AND length(known) BETWEEN 3 AND 4 AND key = known").join(coded_kinds, "kind", "left_semi").select("kind", "known", "means", F.left("known", F.lit(3)).alias("start")).distinct()
+    spelt_out = typed.filter("length(typed) > 4").join(coded_kinds, "kind", "left_semi").withColumn("start", F.explode(_written_out_udf("typed"))).join(short, ["kind", "start"]).select("kind", "typed", "known", "means")
     repaired = materialize(
-        near.unionByName(spelt_out.join(coded_kinds, "kind", "left_semi")).distinct()
+        near.unionByName(spelt_out).distinct()
         .withColumn("sim", _similarity_udf("typed", "known")).filter("sim > 0.6"),
         "repaired",
     )
     # Soft TF-IDF of each entry against the names that hold one of its corrected tokens.
     met = spelled.join(repaired, ["kind", "typed"]).select("kind", "entry", "epos", "sim", F.explode("means").alias("token"))
     best = met.groupBy("kind", "entry", "epos", "token").agg(F.max("sim").alias("sim"))
-    hits = best.join(weighted.select("kind", "token", "name_id", "ref_id", "coded", "idf", "pos"), ["kind", "token"])
+    best = materialize(best, "best")
+    # No score exceeds the root of the share that the tokens met have of the name's squared weights. So a name that
+    # reaches ``least`` has a token met among its rarest: those without which the others stay below that share.
+    rest = F.expr("sum(idf * idf) OVER (PARTITION BY kind, name_id ORDER BY idf, token, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)")
+    whole = F.expr("sum(idf * idf) OVER (PARTITION BY kind, name_id)")
+    rarest = weighted.withColumns({"_rest": rest, "_whole": whole}).filter(F.col("_rest") >= least**2 * F.col("_whole") * (1 - 1e-9)).select("kind", "token", "name_id").distinct()
+    asked = best.join(rarest, ["kind", "token"]).select("kind", "entry", "name_id").distinct()
+    hits = asked.join(weighted.select("kind", "token", "name_id", "ref_id", "coded", "idf", "pos"), ["kind", "name_id"]).join(best, ["kind", "entry", "token"])
     per_token = hits.groupBy("kind", "entry", "ref_id", "name_id", "coded", "pos", "token").agg(F.max(F.struct("sim", "epos", "idf")).alias("b"))
     dots = per_token.groupBy("kind", "entry", "ref_id", "name_id", "coded").agg(
         F.sum(F.col("b.sim") * F.col("b.idf") ** 2).alias("dot"), F.collect_set("b.epos").alias("used"), F.count("*").alias("tokens_met"),
