@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..operators.components import connected_components
 from ..session import drop, materialize, parallelism, table
-from .textdist import osa
+from .textdist import deletions, osa
 from .triejoin import trie_join
 
 #: Edits between the family words of two spellings of one maker.
@@ -70,8 +70,13 @@ class Lexicon:
 
     def __init__(self, trades=TRADES, given=()):
         self.given = dict(GIVEN) | {g: g for g in given if g not in GIVEN}
-        self.long_given = sorted({g for g in self.given.values() if len(g) > 4})
+        self.given_shorter: dict[str, list[str]] = {}
+        for g in sorted({g for g in self.given.values() if len(g) > 4}):
+            for d in deletions(g, 2):
+                self.given_shorter.setdefault(d, []).append(g)
         self.words: dict[str, str] = {}
+        self.by_first: dict[str, list[str]] = {}
+        self.shorter: dict[str, list[str]] = {}
         self.memo: dict[str, str | None] = {}
         for t in trades:
             self.add(t)
@@ -82,7 +87,11 @@ class Lexicon:
         if len({self.trade_of(w) for w in parts}) == 1 and self.trade_of(parts[0]) or "".join(parts) in self.words:
             return
         for w in parts:
-            self.words.setdefault(w, trade)
+            if w not in self.words:
+                self.words[w] = trade
+                self.by_first.setdefault(w[0], []).append(w)
+                for d in deletions(w, 2) if len(w) >= 6 else ():
+                    self.shorter.setdefault(d, []).append(w)
         self.memo.clear()
 
     def trade_of(self, token: str) -> str | None:
@@ -100,23 +109,29 @@ class Lexicon:
             if w in self.words:
                 return self.words[w]
         stem = t[:-1] if t.endswith("s") and len(t) > 3 else t
-        for w, trade in self.words.items():
+        alike = self.by_first.get(t[0], ())
+        for w in alike:
             if w.startswith(t) or w.startswith(stem) and len(stem) > 2:
-                return trade
-        for w, trade in self.words.items():
-            if len(t) <= 5 and t[0] == w[0] and len(w) > len(t):
+                return self.words[w]
+        for w in alike:
+            if len(t) <= 5 and len(w) > len(t):
                 it = iter(w)
                 if all(c in it for c in t) and (w.endswith(t[1:]) or sum(c in "aeiou" for c in t) <= 1 and (len(t) <= 3 or t[-1] == w[-1])):
-                    return trade
+                    return self.words[w]
         if len(t) >= 6:
-            for w, trade in self.words.items():
-                if len(w) >= 6 and osa(t, w, 2) <= (2 if len(w) >= 8 else 1):
-                    return trade
+            for w in self._near(t, self.shorter, 2):
+                if osa(t, w, 2) <= (2 if len(w) >= 8 else 1):
+                    return self.words[w]
         return None
 
+    @staticmethod
+    def _near(t: str, index: dict[str, list[str]], k: int) -> list[str]:
+        """The indexed words that share a string with ``t`` when up to k characters are deleted, in order."""
+        return sorted({w for d in deletions(t, k) for w in index.get(d, ())})
+
     def near_given(self, token: str) -> tuple[int, str | None]:
-        """(edits, name) of the nearest long given name."""
-        return min(((osa(token, g, 2), g) for g in self.long_given), default=(3, None))
+        """(edits, name) of the nearest long given name within two edits; (3, None) where none is."""
+        return min(((osa(token, g, 2), g) for g in self._near(token, self.given_shorter, 2)), default=(3, None))
 
 
 def parse(name: str | None, lexicon: Lexicon) -> tuple[str, str | None, list[str], str | None] | None:
@@ -309,6 +324,7 @@ def link_names(names: DataFrame) -> DataFrame:
     spelt = shorter.unionByName(longer).filter("length(q) > 3").unionByName(alone.join(family, F.col("q") == F.col("e")).select("q", "e", F.lit(0).alias("d"))).distinct()
     spelt = weak.join(spelt, "q")
     one = spelt.join(held, "e").filter("form = 'single' AND at = 0 OR form = 'initial' AND at > 0 AND left(words[0], 1) = i AND (t IS NULL OR t = trade)")
+    one = materialize(one.select("pid", "maker", "d").distinct(), "one")
     one = one.join(one.groupBy("pid").agg(F.min("d").alias("d")), ["pid", "d"], "left_semi").select("pid", "maker")
     camel = profiles.filter("form = 'camel'").select("pid", F.col("words")[0].alias("c1"), F.col("words")[1].alias("c2"), F.left(F.col("words")[0], F.lit(3)).alias("p1"), F.left(F.col("words")[1], F.lit(3)).alias("p2"))
     camel = camel.join(words.filter("size(words) = 2").select("maker", F.col("words")[0].alias("w1"), F.col("words")[1].alias("w2"), F.left(F.col("words")[0], F.lit(3)).alias("p1"), F.left(F.col("words")[1], F.lit(3)).alias("p2")), ["p1", "p2"]).filter("startswith(w1, c1) AND startswith(w2, c2)").select("pid", "maker")
