@@ -7,9 +7,10 @@ output and edit distance becomes Hamming distance. Keys sample some positions of
 windows with few edits agree in one of the repeated samples with high probability. Whatever shares a
 key is verified by an exact local alignment.
 
-The items are the query set: they are taken in blocks of bounded size, each block is broadcast, and
-the documents are scanned once per block; candidates are verified in the same pass, so documents are
-never shuffled and nothing is collected but the items themselves.
+The items are the query set. Up to BLOCK_ITEMS are broadcast, and one scan of the documents finds and
+verifies candidates, so no document is shuffled. More items stay distributed: one scan of the documents emits the
+keys that a broadcast bitmap of bounded size may know, these meet the items' keys by equality, and only documents
+with enough of an item's keys are read again to be verified. Either way gives the same pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import parallelism, table
+from ..session import materialize, parallelism, table
 from .spread import spread
 
 #: Window lengths in words; an item uses the longest that fits into four fifths of a third of it.
@@ -36,8 +37,8 @@ WALKS, SAMPLES, POSITIONS = 2, 5, 6
 LEAST_SHARE, MOST_CHANGED = 1 / 3, 0.15
 #: Shared keys must cover this share of the least passage; neighbouring keys may shift by so many words.
 LEAST_COVER, DRIFT = 0.75, 8
-#: Items in one broadcast block and words of one batch: bounds on memory, not on the work done.
-BLOCK_ITEMS, BATCH_WORDS = 5000, 24_000
+#: Items that are broadcast, words of one batch and bits of the bitmap at most: bounds on memory, not on the work done.
+BLOCK_ITEMS, BATCH_WORDS, MOST_BITS = 5000, 24_000, 27
 #: Begins of a passage that are aligned together: a bound on memory.
 BEGINS = 128
 _INNER = re.compile(r"[\W_]+")
@@ -154,6 +155,12 @@ def may_hold(item: np.ndarray, doc: np.ndarray, least: int) -> bool:
     return bool((spare[least:] - np.minimum.accumulate(spare[: len(spare) - least]) >= -1e-6).any())
 
 
+def window_of(n: int) -> int:
+    """The window length of an item of n words."""
+    fits = [w for w in WINDOWS if w <= max(1, int(n / 3 * 0.8))]
+    return fits[0] if fits else 1
+
+
 class Items:
     """A block of evaluation items, ready for probing."""
 
@@ -166,8 +173,7 @@ class Items:
             if not len(h):
                 continue
             self.items[item_id] = h
-            fits = [w for w in WINDOWS if w <= max(1, int(len(h) / 3 * 0.8))]
-            by[fits[0] if fits else 1].append(item_id)
+            by[window_of(len(h))].append(item_id)
         self.tables = {}
         for w, ids in by.items():
             keys, owner, pos = [], [], []
@@ -233,9 +239,10 @@ class Items:
             n = len(body)
             a, b = first[d]
             least = math.ceil(LEAST_SHARE * n)
-            # A passage matches most of its words on diagonals close to those of its keys: count them first.
+            # A passage that its keys belong to strays from their diagonals by its errors at most: count matches there first.
             met, plain = np.zeros(n, dtype=bool), False
-            for diagonal in range(low - 3, high + 4):
+            stray = max(3, int(MOST_CHANGED * n))
+            for diagonal in range(low - stray, high + stray + 1):
                 x, y = max(0, a - diagonal), min(n, b - diagonal)
                 if x < y:
                     same = body[x:y] == h[x + diagonal : y + diagonal]
@@ -245,7 +252,7 @@ class Items:
                         sums = np.append(0, np.cumsum(same))
                         few = least - (sums[least:] - sums[:-least]) <= MOST_CHANGED * least
                         plain = plain or bool((few & same[: len(few)] & same[least - 1 :]).any())
-            if met.sum() < LEAST_SHARE * LEAST_COVER * n:
+            if met.sum() < (1 - MOST_CHANGED) * LEAST_SHARE * n:
                 continue
             near = h[max(a, lo - n - DRIFT) : min(b, hi + n + DRIFT)]
             if plain or may_hold(body, near, least) and passage(body, near, enough=LEAST_SHARE * n)[0] >= LEAST_SHARE * n:
@@ -275,25 +282,94 @@ def _probe(broadcast):
     return run
 
 
+def _item_keys(batches):
+    """(w, key, item_id, pos, need) of the items' windows; ``need`` is how many positions of a document's keys a leak must meet."""
+    hasher = Hasher()
+    for pdf in batches:
+        parts = []
+        for item_id, text in zip(pdf["item_id"], pdf["text"]):
+            h = hasher(words(text))
+            if len(h):
+                w = window_of(len(h))
+                k = window_keys(h, w)
+                pos = np.tile(np.arange(k.shape[1], dtype=np.int64), k.shape[0])
+                parts.append(pd.DataFrame({"w": w, "key": k.ravel().view(np.int64), "item_id": np.int64(item_id), "pos": pos, "need": max(1, math.ceil(LEAST_SHARE * LEAST_COVER * len(h) / w))}))
+        yield pd.concat(parts).astype({"w": "int32"}) if parts else pd.DataFrame({"w": [], "key": [], "item_id": [], "pos": [], "need": []}).astype("int64").astype({"w": "int32"})
+
+
+def _bitmap(bits: int):
+    def run(batches):
+        seen = np.zeros(1 << bits, dtype=bool)
+        for pdf in batches:
+            seen[(pdf["key"].to_numpy().view(np.uint64) & np.uint64((1 << bits) - 1)).astype(np.int64)] = True
+        yield pd.DataFrame({"bits": [np.packbits(seen).tobytes()]})
+
+    return run
+
+
+def _document_keys(known, windows: list[int]):
+    def run(batches):
+        seen, hasher = np.unpackbits(np.frombuffer(known.value, dtype=np.uint8)).view(bool), Hasher()
+        low = np.uint64(len(seen) - 1)
+        for pdf in batches:
+            w_of, keys, docs = [np.empty(0, np.int32)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for doc_id, text in zip(pdf["doc_id"].tolist(), pdf["text"]):
+                h = hasher(words(text))
+                for w in windows:
+                    k = window_keys(h, w).ravel()
+                    k = np.unique(k[seen[(k & low).astype(np.int64)]])
+                    w_of.append(np.full(len(k), w, dtype=np.int32))
+                    keys.append(k.view(np.int64))
+                    docs.append(np.full(len(k), doc_id, dtype=np.int64))
+            yield pd.DataFrame({"w": np.concatenate(w_of), "key": np.concatenate(keys), "doc_id": np.concatenate(docs)})
+
+    return run
+
+
+def _verify(batches):
+    for pdf in batches:
+        hasher, found, held = Hasher(), [], (None, None)
+        for doc_id, item_id, doc, item in zip(pdf["doc_id"], pdf["item_id"], pdf["doc"], pdf["item"]):
+            if held[0] != (item_id, item):
+                held = ((item_id, item), Items([(item_id, item)]))
+            h = hasher(words(doc))
+            if held[1].leaks(h, np.zeros(len(h), dtype=np.int64), {0: (0, len(h))}):
+                found.append((doc_id, item_id))
+        yield pd.DataFrame(found, columns=["doc_id", "item_id"]).astype("int64")
+
+
+def _met_by_keys(rows: DataFrame, items: DataFrame) -> DataFrame:
+    """The leaks of any number of items, which stay distributed."""
+    spark = rows.sparkSession
+    keys = materialize(items.repartition(parallelism(spark)).mapInPandas(_item_keys, "w int, key long, item_id long, pos long, need long"), "keys")
+    windows = [r[0] for r in keys.select("w").distinct().collect()]  # at most as many as WINDOWS
+    bits = min(MOST_BITS, max(16, (5 * keys.count()).bit_length()))
+    known = np.zeros((1 << bits) // 8, dtype=np.uint8)
+    for r in keys.select("key").coalesce(16).mapInPandas(_bitmap(bits), "bits binary").toLocalIterator():
+        known |= np.frombuffer(bytes(r[0]), dtype=np.uint8)
+    asked = rows.mapInPandas(_document_keys(spark.sparkContext.broadcast(known.tobytes()), windows), "w int, key long, doc_id long")
+    # A window position counts once for a document, whatever keys it met by.
+    met = asked.join(keys, ["w", "key"]).groupBy("doc_id", "item_id", "pos").agg(F.first("need").alias("need"))
+    pairs = met.groupBy("doc_id", "item_id").agg(F.count("*").alias("n"), F.first("need").alias("need")).filter("n >= need").select("doc_id", "item_id")
+    pairs = materialize(pairs, "pairs")
+    texts = pairs.join(rows.withColumnRenamed("text", "doc"), "doc_id").join(items.withColumnRenamed("text", "item"), "item_id")
+    return texts.repartition(parallelism(spark), "doc_id", "item_id").mapInPandas(_verify, "doc_id long, item_id long").distinct()
+
+
 def leaks(docs: DataFrame, items: DataFrame, block: int = BLOCK_ITEMS) -> DataFrame:
     """(doc_id, item_id) of every document that holds a passage of an item.
 
     ``docs``: (doc_id, text); ``items``: (item_id, text). Null and wordless texts on either side match
     nothing; a document is reported once per item, however often it holds it; equal items are each
-    reported. The items are read to the driver a block at a time.
+    reported. Up to ``block`` items are read to the driver.
     """
     spark = docs.sparkSession
     rows = spread(docs.select(F.col("doc_id").cast("long"), "text").filter("text IS NOT NULL"), parallelism(spark))
-    out, held = spark.createDataFrame([], "doc_id long, item_id long"), []
-
-    def scan(held):
-        return rows.mapInPandas(_probe(spark.sparkContext.broadcast(Items(held))), "doc_id long, item_id long")
-
-    for r in items.select("item_id", "text").filter("text IS NOT NULL").toLocalIterator():
-        held.append((r[0], r[1]))
-        if len(held) == block:
-            out, held = out.unionByName(scan(held)), []
-    return out.unionByName(scan(held)) if held else out
+    asked = items.select(F.col("item_id").cast("long"), "text").filter("text IS NOT NULL")
+    held = [(r[0], r[1]) for r in asked.limit(block + 1).collect()]
+    if len(held) > block:
+        return _met_by_keys(rows, asked)
+    return rows.mapInPandas(_probe(spark.sparkContext.broadcast(Items(held))), "doc_id long, item_id long")
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
