@@ -102,7 +102,7 @@ def mask(coded: str) -> str:
 def parser_of(shape: str) -> tuple[str, re.Pattern] | None:
     """The parser of a mask, found once per distinct mask."""
     probe = shape.replace("P9", "P0")
-    if "X" in probe or len(probe) > 64:
+    if "X" in probe:
         return None
     return next(((kind, p) for kind, p in PARSERS if p.fullmatch(probe)), None)
 

@@ -102,8 +102,9 @@ def unique_boxes(words: DataFrame, mpns: DataFrame, doc: str) -> DataFrame:
 
 
 def rendered_candidates(rows: DataFrame, doc: str) -> DataFrame:
-    """(doc, block): the candidates of a document as numbered lines."""
-    line = F.concat(F.col("n").cast("string"), F.lit(". "), F.col("iso"), F.lit(" | "), F.col("source"), F.lit(" | "), F.col("governing"))
+    """(doc, block): the candidates of a document as numbered lines; what is null is left blank."""
+    field = lambda c: F.coalesce(F.col(c), F.lit(""))
+    line = F.concat(F.col("n").cast("string"), F.lit(". "), field("iso"), F.lit(" | "), field("source"), F.lit(" | "), field("governing"))
     g = rows.select(doc, "n", line.alias("line")).groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("n", "line"))).alias("l"))
     return g.select(doc, F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("block"))
 

@@ -59,7 +59,7 @@ def section_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def deepest_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The deepest section of every slide."""
     s = _slides(spark, sf_dir)
-    return C.deepest_section(s, C.course_sections(s).filter("depth > 0 AND start > 10"))
+    return C.deepest_section(s, C.course_sections(s).filter("depth > 0"))
 
 
 def section_call_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +113,7 @@ _CAND = f"""tk AS (SELECT key, list_distinct(string_split(key, ' ')) AS toks FRO
 _SEC = "cs AS (SELECT DISTINCT course_id FROM slide_concepts), sec AS (SELECT course_id, 's' || k AS section, 1 AS depth, k * 20 + 1 AS start, (k + 1) * 20 AS stop FROM cs, range(6) t(k) UNION ALL SELECT course_id, 's' || (k // 2) || '_' || (k % 2), 2, k * 10 + 1, (k + 1) * 10 FROM cs, range(12) t(k) UNION ALL SELECT course_id, 'all', 0, 1, 0 FROM cs)"
 _IN = "s.course_id = sec.course_id AND s.slide >= sec.start AND (sec.stop = 0 OR s.slide <= sec.stop)"
 _COV = f"{_SEC}, cov AS (SELECT s.course_id, section, name AS concept, round(avg(salience), 6) AS score, count(*) AS frequency FROM slide_concepts s JOIN sec ON {_IN} GROUP BY ALL)"
-_DEEP = f"{_SEC}, sl AS (SELECT DISTINCT course_id, slide FROM slide_concepts), deep AS (SELECT s.course_id, s.slide, arg_max(section, depth * 10000 + start) AS section FROM sl s LEFT JOIN (SELECT * FROM sec WHERE depth > 0 AND start > 10) sec ON {_IN} GROUP BY ALL)"
+_DEEP = f"{_SEC}, sl AS (SELECT DISTINCT course_id, slide FROM slide_concepts), deep AS (SELECT s.course_id, s.slide, arg_max(section, depth * 10000 + start) AS section FROM sl s LEFT JOIN (SELECT * FROM sec WHERE depth > 0) sec ON {_IN} GROUP BY ALL)"
 SQL = {
     "concept_inventory": f"WITH {_REC} SELECT * FROM rec",
     "mutual_concept_links": f"WITH {_E}, {_M} SELECT * FROM m",
@@ -132,3 +132,7 @@ SQL = {
     "duplicate_survivors": "SELECT id, arg_min(record_id, (-len(coalesce(slides, [])), record_id)) AS survivor, count(*) AS members FROM concept_records GROUP BY 1 HAVING count(*) > 1",
     "teach_counts": "SELECT record_id, len(list_distinct(coalesce(slides, []))) AS n_slides, len(list_distinct(coalesce(courses, []))) AS n_courses, array_to_string(list_sort(list_distinct(coalesce(related_terms, []))), '|') AS terms FROM concept_records",
 }
+SQL["packed_section_calls"] = f"""WITH RECURSIVE runs AS ({SQL["section_call_runs"]}), o AS (SELECT *, row_number() OVER (PARTITION BY course_id ORDER BY first_slide) AS rn FROM runs),
+  p AS (SELECT course_id, rn, 0::BIGINT AS call, first_slide, last_slide, n, n AS held FROM o WHERE rn = 1
+    UNION ALL SELECT o.course_id, o.rn, CASE WHEN held + o.n <= 8 THEN call ELSE call + 1 END, o.first_slide, o.last_slide, o.n, CASE WHEN held + o.n <= 8 THEN held + o.n ELSE o.n END FROM p JOIN o ON o.course_id IS NOT DISTINCT FROM p.course_id AND o.rn = p.rn + 1)
+  SELECT course_id, call, min(first_slide) AS first_slide, arg_max(last_slide, rn) AS last_slide, sum(n)::BIGINT AS n FROM p GROUP BY ALL"""

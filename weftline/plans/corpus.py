@@ -137,7 +137,16 @@ _ROW = "(SELECT concat_ws('_p', node_id, CAST(page_start AS VARCHAR)) AS chunk_i
 _RAW = ["value / w", "value * 0.5 / 100.0", "(value + user_id % 90) / w", "value * 2 / 100.0"]
 _CUT = [f"floor(least(greatest({r}, 0.0), 1.0) * 1000000 + 0.5) / 1000000" for r in _RAW]
 _FLAT = f"({_CUT[2]} <= {_CUT[0]} OR {_CUT[3]} <= {_CUT[1]})"
+_CAMEL = """list_reduce(list_transform(range(1, length(f) + 1), lambda i: substr(f, i, 1) || substr(f, i + 1, 1)), lambda acc, x: acc || CASE
+    WHEN regexp_matches(x, '^[^A-Za-z0-9]') THEN chr(1) WHEN regexp_matches(acc, '(^|' || chr(1) || ')$') THEN left(x, 1)
+    WHEN regexp_matches(x, '^[A-Z]') AND (regexp_matches(regexp_extract(acc, '[A-Za-z0-9]*$'), '[a-z]') OR (regexp_matches(x, '^.[a-z]') AND NOT regexp_matches(regexp_extract(acc, '[A-Za-z0-9]*$'), '[0-9]'))) THEN chr(1) || left(x, 1)
+    WHEN regexp_matches(x, '^[a-z]') AND regexp_matches(regexp_extract(acc, '[A-Za-z0-9]*$'), '^[A-Z0-9]*[A-Z][A-Z0-9]*$') AND regexp_matches(regexp_extract(acc, '[A-Za-z0-9]*$'), '[0-9]') THEN chr(1) || left(x, 1)
+    WHEN regexp_matches(x, '^[0-9]') AND regexp_matches(regexp_extract(acc, '[A-Za-z0-9]*$'), '^[A-Z0-9]*[A-Z]$') AND regexp_matches(regexp_extract(acc, '[A-Za-z0-9]*$'), '[0-9]') THEN chr(1) || left(x, 1) ELSE left(x, 1) END, '')"""
+_INIT = "array_to_string(list_transform(regexp_split_to_array(name, '[^A-Za-z0-9]+'), lambda w: upper(left(w, 1)) || lower(substr(w, 2))), '')"
 SQL = {
+    "uri_labels": f"""WITH n AS (SELECT concept_key, {_INIT} AS fragment, concat_ws('_', {_INIT}, CAST(slide AS VARCHAR)) AS f FROM slide_concepts), w AS (SELECT *, list_filter(string_split({_CAMEL}, chr(1)), lambda w: w <> '') AS ws, list_filter(string_split(f, '_'), lambda w: w <> '') AS sg FROM n)
+      SELECT concept_key, fragment, array_to_string(list_transform(ws, lambda w: upper(left(w, 1)) || substr(w, 2)), ' ') AS label, len(sg) = 0 OR len(list_filter(sg, lambda x: regexp_full_match(x, '[0-9]+|[A-Za-z]'))) > 0 AS opaque,
+        lower(regexp_replace(regexp_replace('query' || fragment, '([^A-Z])([A-Z])', '\\1 \\2', 'g'), '([^A-Z ])([A-Z])', '\\1 \\2', 'g')) AS verb FROM w""",
     "text_layer_health": f"""WITH d AS (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents), c AS (SELECT doc_id, {_COUNT.format('th')} + {_COUNT.format('er')} AS control, {', '.join(_COUNT.format(p) + ' AS ' + p for p in E.PAIR_RATIOS)} FROM d),
       k AS (SELECT doc_id, control, {_KEPT} AS kept FROM c) SELECT doc_id, control, len(kept) AS judged, list_min(kept) AS retention, coalesce(list_min(kept) < 0.35, false) AS degraded FROM k""",
     "line_elements_running_page": f"""WITH {_LINES}, m AS (SELECT *, CASE WHEN regexp_matches(trim(line), '{_DIV}') THEN CAST(regexp_extract(trim(line), '{_DIV}', 1) AS INT) END AS mark FROM lines),

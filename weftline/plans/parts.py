@@ -112,15 +112,6 @@ def readiness_posture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("source", F.when(F.col("max_repeats").isNull(), "UNATTRIBUTED").when(F.col("docs").isNull(), "ABSENT").otherwise("INGESTED").alias("posture"), F.coalesce("docs", F.lit(0)).alias("docs"))
 
 
-def repaired_cut_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Part numbers cut by three characters, completed by the only longer token of their procedure that begins so."""
-    p = _parts(spark, sf_dir).filter("length(mpn) >= 8").select("procedure_id", "mpn").distinct()
-    cut = p.select("procedure_id", F.expr("left(mpn, length(mpn) - 3)").alias("cut")).distinct()
-    j = cut.alias("c").join(p.alias("t"), (F.col("c.procedure_id") == F.col("t.procedure_id")) & F.col("t.mpn").startswith(F.col("c.cut")) & (F.length("t.mpn") > F.length("c.cut")))
-    g = j.groupBy(F.col("c.procedure_id").alias("procedure_id"), F.col("c.cut").alias("cut")).agg(F.min("t.mpn").alias("mpn"), F.count("*").alias("n"))
-    return g.filter("n = 1").select("procedure_id", "cut", "mpn")
-
-
 def text_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct tokens of each instruction, and whether one is part-shaped."""
     s = table(spark, sf_dir, "mfg_steps")
@@ -128,7 +119,7 @@ def text_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("step_key", F.array_join(toks, " ").alias("tokens"), F.exists(toks, lambda t: t.rlike(r"^[A-Z]{2,3}-\d{4}-\d{3}$")).alias("names_part"))
 
 
-QUERIES = {f.__name__: f for f in (part_dedupe_first_wins, part_dedupe_tallies, grid_columns, grid_part_rows, merged_parts, snippet_grounding, scorecard, set_identity_score, header_verdicts, run_rates, worst_across_fires, readiness_posture, repaired_cut_parts, text_tokens)}
+QUERIES = {f.__name__: f for f in (part_dedupe_first_wins, part_dedupe_tallies, grid_columns, grid_part_rows, merged_parts, snippet_grounding, scorecard, set_identity_score, header_verdicts, run_rates, worst_across_fires, readiness_posture, text_tokens)}
 
 _P = "p AS (SELECT procedure_id, step_key, unnest(range(len(internal_part_numbers))) AS pos, unnest(internal_part_numbers) AS mpn FROM mfg_steps)"
 _R = "r AS (SELECT *, row_number() OVER (PARTITION BY procedure_id, trim(mpn) ORDER BY step_key, pos) AS rn FROM p WHERE trim(coalesce(mpn, '')) <> '')"
@@ -157,6 +148,5 @@ SQL = {
     "run_rates": f"WITH {_FLAGS} SELECT * FROM f",
     "worst_across_fires": f"""WITH {_FLAGS}, l AS ({' UNION ALL '.join(f"SELECT fire, records, '{c}' AS flag, {c} AS n FROM f" for c in ('no_mfr', 'no_date', 'no_revision', 'no_ltb'))}) SELECT flag, arg_max(fire, n * 100 - fire) AS fire, max(n) AS n, arg_max(records, n * 100 - fire) AS records, count(DISTINCT (n, records)) = 1 AS agree FROM l GROUP BY 1""",
     "readiness_posture": "SELECT source, CASE WHEN max_repeats IS NULL THEN 'UNATTRIBUTED' WHEN docs IS NULL THEN 'ABSENT' ELSE 'INGESTED' END AS posture, coalesce(docs, 0) AS docs FROM (SELECT source, max_repeats FROM source_targets) FULL JOIN (SELECT source, count(*) AS docs FROM documents GROUP BY 1) USING (source)",
-    "repaired_cut_parts": f"WITH {_P}, d AS (SELECT DISTINCT procedure_id, mpn FROM p WHERE length(mpn) >= 8), c AS (SELECT DISTINCT procedure_id, left(mpn, length(mpn) - 3) AS cut FROM d) SELECT c.procedure_id, cut, min(mpn) AS mpn FROM c JOIN d ON c.procedure_id = d.procedure_id AND starts_with(mpn, cut) AND length(mpn) > length(cut) GROUP BY ALL HAVING count(*) = 1",
     "text_tokens": "WITH t AS (SELECT step_key, list_sort(list_distinct(list_transform(regexp_extract_all(instruction_text, '[A-Za-z0-9][A-Za-z0-9./+_-]*'), lambda x: regexp_replace(x, '[./_-]+$', '')))) AS k FROM mfg_steps) SELECT step_key, array_to_string(k, ' ') AS tokens, len(list_filter(k, lambda x: regexp_matches(x, '^[A-Z]{2,3}-\\d{4}-\\d{3}$'))) > 0 AS names_part FROM t",
 }

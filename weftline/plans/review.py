@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codes as K
 from ..functions import recognise as R
+from ..functions import text as X
 from ..operators import concepts as C
 from ..operators import graph as G
 from ..operators import review as V
@@ -49,7 +50,7 @@ def leaf_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def candidate_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates of each notice as one text."""
-    c = table(spark, sf_dir, "ltb_candidates").filter("iso IS NOT NULL AND source IS NOT NULL AND governing IS NOT NULL")
+    c = table(spark, sf_dir, "ltb_candidates")
     n = F.expr("row_number() OVER (PARTITION BY notice_id ORDER BY candidate_id)")
     return V.rendered_candidates(c.withColumn("n", n), "notice_id")
 
@@ -100,7 +101,8 @@ def synced_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cell_recognition(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Composite cells, label echoes and names among parts and makers."""
     s = table(spark, sf_dir, "mfg_steps").select("step_key", F.array_join(F.filter("internal_part_numbers", lambda x: x.isNotNull()), ",\n").alias("cell")).filter("cell <> ''")
-    return s.select("step_key", F.size(R.composite_parts("cell")).alias("fragments"), R.is_label_echo(F.lit("Part Number / Rev")).alias("echo"), R.is_name_shape("cell").alias("name"))
+    label = F.element_at(F.array(*[F.lit(x) for x in R.LABELS]), (F.col("step_key") % len(R.LABELS) + 1).cast("int"))
+    return s.select("step_key", F.size(R.composite_parts("cell")).alias("fragments"), R.is_label_echo(F.concat(F.initcap(label), F.lit(" : / "), F.lit("Rev"), F.when(F.col("step_key") % 4 == 0, F.concat(F.lit("/"), F.col("step_key").cast("string"))).otherwise(""))).alias("echo"), R.is_name_shape("cell").alias("name"))
 
 
 def affected_headings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,6 +147,10 @@ def kept_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (threaded_grids, review_items, sourced_values, title_types, leaf_candidates, candidate_blocks, deck_outlines, packed_steps, reused_names, reading_gate, slide_backfill, synced_store, cell_recognition, affected_headings, escaped_names, folded_concept_ids, work_package_kinds, provenance_stamps, kept_dates)}
+_ANY = lambda terms: "(" + " OR ".join(f"contains(s, '{t}')" for t in terms) + ")"
+_SIGNALS = f"""k AS (SELECT *, regexp_matches(s, '\\bpcn\\b') AS pcn, regexp_matches(s, '\\bpdn\\b') AS pdn, {_ANY(X.PCN_TERMS)} AS kp, {_ANY(X.PDN_TERMS)} AS kd FROM t), a AS (SELECT *, (pcn AND pdn) OR (pcn AND kd) OR (pdn AND kp) OR (NOT pcn AND NOT pdn AND kp AND kd) AS unclear FROM k),
+  g AS (SELECT notice_id, seq, CASE WHEN unclear THEN 'ambiguous' WHEN pcn OR pdn THEN 'code' ELSE 'keyword' END AS signal, CASE WHEN unclear THEN NULL WHEN pcn THEN 'PCN' WHEN pdn THEN 'PDN' WHEN kd THEN 'PDN' ELSE 'PCN' END AS kind FROM a WHERE pcn OR pdn OR kp OR kd)"""
+_LABELS = ", ".join(f"'{x}'" for x in R.LABELS)
 _TAGS, _KINDS = (", ".join(f"'{x}'" for x in side) for side in zip(*K.WP_KINDS.items()))
 
 
@@ -170,7 +176,17 @@ SQL = {
       SELECT doc, seq, outcome, CASE WHEN outcome = 'declined_rows' THEN mpn_rows || ' rows hold part numbers' END AS reason FROM o""",
     "review_items": "SELECT notice_id, field, value, source, CASE WHEN source IS NULL THEN 'no source' WHEN NOT contains(upper(source), upper(value)) THEN 'source does not hold the value' END AS reason FROM (" + " UNION ALL ".join(f"SELECT notice_id, '{f}' AS field, {v} AS value, {v}_source AS source FROM notice_headers" for f, v in (("mfr", "mfr"), ("pub_date", "pub_date"), ("ltb", "doc_level_ltb_date"))) + ") WHERE value IS NOT NULL AND trim(value) <> ''",
     "sourced_values": "SELECT candidate_id, source AS value, coalesce(contains(snippet, source), false) AS kept, CASE WHEN NOT coalesce(contains(snippet, source), false) THEN 'not printed' END AS reason FROM ltb_candidates WHERE source IS NOT NULL",
-    "candidate_blocks": "WITH c AS (SELECT notice_id, row_number() OVER (PARTITION BY notice_id ORDER BY candidate_id) AS n, iso, source, governing FROM ltb_candidates WHERE iso IS NOT NULL AND source IS NOT NULL AND governing IS NOT NULL) SELECT notice_id, string_agg(n || '. ' || iso || ' | ' || source || ' | ' || governing, chr(10) ORDER BY n) AS block FROM c GROUP BY 1",
+    "candidate_blocks": "WITH c AS (SELECT notice_id, row_number() OVER (PARTITION BY notice_id ORDER BY candidate_id) AS n, coalesce(iso, '') AS iso, coalesce(source, '') AS source, coalesce(governing, '') AS governing FROM ltb_candidates) SELECT notice_id, string_agg(n || '. ' || iso || ' | ' || source || ' | ' || governing, chr(10) ORDER BY n) AS block FROM c GROUP BY 1",
+    "title_types": f"WITH t AS (SELECT notice_id, unnest(range(len(l))) AS seq, lower(coalesce(unnest(l), '')) AS s FROM (SELECT notice_id, list_concat(coalesce(categories, []), [summary]) AS l FROM notice_headers)), {_SIGNALS} SELECT notice_id, arg_min(struct_pack(t := kind), seq).t AS doc_type, CASE WHEN arg_min(signal, seq) = 'ambiguous' THEN 'title-ambiguous' ELSE 'title' END AS source FROM g GROUP BY 1",
+    "leaf_candidates": f"""WITH t AS (SELECT notice_id, 0 AS seq, lower(coalesce(doc_type, '')) AS s FROM notice_headers UNION ALL SELECT notice_id, 1, lower(coalesce(summary, '')) FROM notice_headers), {_SIGNALS},
+      l AS (SELECT notice_id, seq, unnest(CASE WHEN signal = 'ambiguous' THEN ['pcn', 'pdn'] ELSE [lower(kind)] END) AS leaf, CASE WHEN signal = 'ambiguous' THEN 0.3 WHEN signal = 'code' THEN CASE WHEN seq = 0 THEN 0.9 ELSE 0.8 END WHEN seq = 0 THEN 0.6 ELSE 0.5 END::DOUBLE AS score FROM g),
+      b AS (SELECT notice_id, leaf, score, seq FROM l QUALIFY row_number() OVER (PARTITION BY notice_id, leaf ORDER BY score DESC, seq) = 1) SELECT notice_id, row_number() OVER (PARTITION BY notice_id ORDER BY score DESC, seq, leaf) AS rank, leaf, score FROM b QUALIFY rank <= 3""",
+    "packed_steps": """WITH RECURSIVE e AS (SELECT procedure_id, length(instruction_text) AS n, row_number() OVER (PARTITION BY procedure_id ORDER BY step_key) AS rn FROM mfg_steps WHERE coalesce(instruction_text, '') <> ''),
+      p AS (SELECT procedure_id, rn, 0 AS pack, n AS held FROM e WHERE rn = 1 UNION ALL SELECT e.procedure_id, e.rn, CASE WHEN held + n < 600 THEN pack ELSE pack + 1 END, CASE WHEN held + n < 600 THEN held + 2 + n ELSE n END FROM p JOIN e ON e.procedure_id IS NOT DISTINCT FROM p.procedure_id AND e.rn = p.rn + 1)
+      SELECT procedure_id, pack, count(*) AS n FROM p GROUP BY ALL""",
+    "cell_recognition": f"""WITH c AS (SELECT step_key, array_to_string(list_filter(internal_part_numbers, lambda x: x IS NOT NULL), ',' || chr(10)) AS cell FROM mfg_steps), p AS (SELECT *, list_filter(list_transform(regexp_split_to_array(cell, ',\\s*\\n|\\n|,\\s+'), lambda x: trim(x)), lambda x: x <> '') AS parts, [{_LABELS}][step_key % {len(R.LABELS)} + 1] AS label FROM c WHERE cell <> '')
+      SELECT step_key, CASE WHEN len(parts) > 1 AND len(list_filter(parts, lambda x: NOT (regexp_full_match(x, '[^\\sa-z]{{2,48}}') AND regexp_matches(x, '[0-9]')))) = 0 THEN len(parts) ELSE 1 END AS fragments, step_key % 4 <> 0 AS echo,
+        trim(cell) <> '' AND len(regexp_split_to_array(trim(cell), '\\s+')) <= 6 AND regexp_matches(cell, '\\p{{L}}{{2}}') AND NOT regexp_matches(lower(cell), 'https?://|www\\.|@') AND NOT regexp_matches(cell, '[.!?]\\s+\\p{{Lu}}') AS name FROM p""",
     "deck_outlines": """WITH t AS (SELECT package_id, page_start AS page, min(level) AS level FROM base_sections WHERE page_start IS NOT NULL GROUP BY ALL), d AS (SELECT package_id, page, page || CASE WHEN level > 1 THEN '.1' ELSE '' END || CASE WHEN level > 2 THEN '.2' ELSE '' END AS number, 'Title' AS title, CASE WHEN level > 2 THEN 3 WHEN level > 1 THEN 2 ELSE 1 END AS depth FROM t)
       SELECT *, (SELECT min(b.page) FROM d b WHERE b.package_id = d.package_id AND b.page > d.page AND b.depth <= d.depth) - 1 AS end_page FROM d""",
     "reused_names": "WITH c AS (SELECT id, name, count(*) AS n FROM concept_records WHERE name IS NOT NULL GROUP BY ALL) SELECT id, name, n FROM c QUALIFY row_number() OVER (PARTITION BY id ORDER BY n DESC, name) = 1",
