@@ -16,6 +16,7 @@ from importlib.util import find_spec
 from pathlib import Path
 
 import pandas as pd
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,10 +55,11 @@ def _encoding(path: str):
 def with_tokens(docs: DataFrame, text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
     """``docs`` with ``tokens``, the number of tokens of ``text`` (0 for null)."""
     path = vocabulary_path(vocabulary)
+    docs.sparkSession.sparkContext.addFile(path)  # the workers need no path of their own
 
     @F.pandas_udf(T.LongType())
     def count(texts: pd.Series) -> pd.Series:
-        enc = _encoding(path)
+        enc = _encoding(SparkFiles.get(Path(path).name))
         return pd.Series([len(enc.encode_ordinary(t)) if t else 0 for t in texts])
 
     return docs.withColumn("tokens", count(text))
@@ -91,8 +93,8 @@ def mix(docs: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> Da
     spark = docs.sparkSession
     wanted = {r[0]: (float(r[1] or 0), int(r[2] or 0)) for r in targets.select("source", "target_share", "max_repeats").collect() if r[0] is not None}
     h = F.expr("xxhash64(doc_id, 'mix')")
-    known = docs.filter(F.col("source").isin(list(wanted))) if wanted else docs.limit(0)
-    sized = with_tokens(spread(known.select("doc_id", "source", "text"), parallelism(spark)), "text", vocabulary)
+    known = spread(docs.select("doc_id", "source", "text"), parallelism(spark)).join(targets.select("source").distinct(), "source", "left_semi")
+    sized = with_tokens(known, "text", vocabulary)
     sized = materialize(sized.select("doc_id", "source", "tokens", F.shiftrightunsigned(h, 1).alias("h")).filter("tokens > 0"), "sized")
     sizes = {r[0]: r[1] for r in sized.groupBy("source").agg(F.sum("tokens")).collect()}
     plan = budgets(sizes, wanted)
@@ -103,9 +105,10 @@ def mix(docs: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> Da
         if not below:
             break
         shift -= LEVEL_BITS
-        width = 1 << (shift + LEVEL_BITS)
-        cond = functools.reduce(lambda a, b: a | b, [(F.col("source") == s) & (F.col("h") >= t) & (F.col("h") - F.lit(t) < F.lit(width) if level else F.lit(True)) for s, (t, _) in below.items()])
-        histogram = sized.filter(cond).groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("tokens").alias("tokens"))
+        width = 1 << min(62, shift + LEVEL_BITS)
+        floors = spark.createDataFrame([(s, t) for s, (t, _) in below.items()], "source string, floor long")  # a row per source
+        inside = sized.join(floors, "source").filter((F.col("h") >= F.col("floor")) & (F.lit(not level) | (F.col("h") - F.col("floor") < F.lit(width))))
+        histogram = inside.groupBy("source", F.shiftright("h", shift).alias("bucket")).agg(F.sum("tokens").alias("tokens"))
         by: dict[str, list] = {}
         for s, b, n in histogram.collect():  # at most 2**LEVEL_BITS rows per source
             by.setdefault(s, []).append((b, n))
@@ -117,14 +120,8 @@ def mix(docs: DataFrame, targets: DataFrame, vocabulary: str = VOCABULARY) -> Da
                 need -= n
                 t = (b + 1) << shift
             below[s] = (t, need)
-    out = None
-    copies = F.lit(0)
-    for s, (passes, _) in plan.items():
-        n = F.lit(passes)
-        if s in below:
-            n = n + (F.col("h") < F.lit(below[s][0])).cast("int")
-        copies = F.when(F.col("source") == s, n).otherwise(copies)
-    out = sized.withColumn("copies", copies.cast("int"))
+    plans = spark.createDataFrame([(s, passes, below.get(s, (0, 0))[0]) for s, (passes, _) in plan.items()], "source string, passes int, threshold long")
+    out = sized.join(plans, "source").withColumn("copies", F.col("passes") + (F.col("h") < F.col("threshold")).cast("int"))
     return out.filter("copies > 0").select("doc_id", "source", "tokens", "copies")
 
 
