@@ -33,7 +33,7 @@ LEAST_FILL = 0.5
 
 def _last_at(n: int, ends: np.ndarray) -> np.ndarray:
     """For each position 0..n the last boundary at or before it, 0 where there is none."""
-    mark = np.zeros(n + 1, dtype=np.int64)
+    mark = np.zeros(n + 1, dtype=np.int32)
     mark[ends] = ends
     return np.maximum.accumulate(mark)
 
@@ -42,7 +42,8 @@ def cuts(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
     """(start, end) of the pieces of one text, in code points, in order.
 
     A text within the limit is one piece. Pieces are at most ``limit`` long, cover the text, and
-    neighbours share exactly ``overlap`` characters (reduced to limit - 1 where it is not smaller).
+    neighbours share exactly ``overlap`` characters (reduced to limit - 1 where it is not smaller). Some ten
+    tables of four bytes a character are held at a time: a text of 100 million characters needs about 4 GB.
     """
     n = len(text)
     if limit < 1:
@@ -50,12 +51,12 @@ def cuts(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
     if n <= limit:
         return [(0, n)]
     overlap = max(0, min(overlap, limit - 1))
-    end = np.arange(n + 1, dtype=np.int64)
+    end = np.arange(n + 1, dtype=np.int32)
     reach = np.minimum(end - overlap + limit, n)  # the farthest legal end of the piece after one that ends here
     low = np.maximum(end + 1, end - overlap + int(limit * LEAST_FILL))
-    succ = np.zeros(n + 1, dtype=np.int64)
+    succ = np.zeros(n + 1, dtype=np.int32)
     for pattern in BOUNDARIES:
-        ends = np.fromiter((m.end() for m in pattern.finditer(text)), dtype=np.int64)
+        ends = np.fromiter((m.end() for m in pattern.finditer(text)), dtype=np.int32)
         if len(ends):
             best = _last_at(n, ends)[reach]
             succ = np.where((succ == 0) & (best >= low), best, succ)
@@ -63,7 +64,7 @@ def cuts(text: str, limit: int, overlap: int) -> list[tuple[int, int]]:
     succ = np.where(reach >= n, n, succ)
     # The first piece has no predecessor: it starts at 0, as if one had ended at ``overlap``.
     first = int(succ[overlap]) if overlap > 0 else int(succ[0])
-    reached = np.array([first], dtype=np.int64)
+    reached = np.array([first], dtype=np.int32)
     jump = succ
     while True:
         more = np.union1d(reached, jump[reached])
