@@ -22,6 +22,7 @@ from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -240,18 +241,18 @@ class Items:
             a, b = first[d]
             least = math.ceil(LEAST_SHARE * n)
             # A passage that its keys belong to strays from their diagonals by its errors at most: count matches there first.
-            met, plain = np.zeros(n, dtype=bool), False
             stray = max(3, int(MOST_CHANGED * n))
-            for diagonal in range(low - stray, high + stray + 1):
-                x, y = max(0, a - diagonal), min(n, b - diagonal)
-                if x < y:
-                    same = body[x:y] == h[x + diagonal : y + diagonal]
-                    met[x:y] |= same
-                    # A least passage with changed words only shows on one diagonal and needs no alignment.
-                    if y - x >= least:
-                        sums = np.append(0, np.cumsum(same))
-                        few = least - (sums[least:] - sums[:-least]) <= MOST_CHANGED * least
-                        plain = plain or bool((few & same[: len(few)] & same[least - 1 :]).any())
+            base, width = low - stray, high - low + 2 * stray + 1
+            lo_word, hi_word = max(a, base), min(b, base + n + width - 1)
+            near_words, inside = np.full(n + width - 1, _PAD), np.zeros(n + width - 1, dtype=bool)
+            near_words[lo_word - base : hi_word - base], inside[lo_word - base : hi_word - base] = h[lo_word:hi_word], True
+            same = (sliding_window_view(near_words, width) == body[:, None]) & sliding_window_view(inside, width)  # by word of the item and diagonal
+            met, plain = same.any(axis=1), False
+            # A least passage with changed words only shows on one diagonal and needs no alignment.
+            if n >= least:
+                sums = np.vstack([np.zeros((1, width), dtype=np.int32), np.cumsum(same, axis=0, dtype=np.int32)])
+                few = least - (sums[least:] - sums[:-least]) <= MOST_CHANGED * least
+                plain = bool((few & same[: len(few)] & same[least - 1 :]).any())
             if met.sum() < (1 - MOST_CHANGED) * LEAST_SHARE * n:
                 continue
             near = h[max(a, lo - n - DRIFT) : min(b, hi + n + DRIFT)]
