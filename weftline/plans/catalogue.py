@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 FLAGSHIP = "p5_found"
 #: Modules that define QUERIES (name -> function) and perhaps SQL (name -> text).
-MODULES = ("timestamps", "notices", "corpus", "parts", "concepts", "graph", "vectors", "events", "codes", "scrubbing", "documents", "trust", "exports", "review", "recovery")
+MODULES = ("timestamps", "notices", "corpus", "parts", "concepts", "graph", "vectors", "events", "codes", "scrubbing", "documents", "trust", "exports", "review", "recovery", "pages")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
