@@ -62,6 +62,8 @@ def outline(heads: DataFrame, id_col: str) -> DataFrame:
     Texts with levels above WINDOW_LEVELS are read with a stack of open headings instead.
     """
     cols = [id_col, "line_no", "heading", "level", "number"]
+    if heads.filter(F.col("level") > WINDOW_LEVELS).isEmpty():  # a scan without shuffle
+        return _windowed(heads.select(*cols), id_col)
     marked = heads.select(*cols).withColumn("_deep", F.expr(f"max(level) OVER (PARTITION BY {id_col})") > WINDOW_LEVELS)
     kind = dict(heads.dtypes)
     schema = ", ".join(f"{c} {kind[c]}" for c in cols) + ", parent int, end_line int"
