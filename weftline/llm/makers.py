@@ -273,7 +273,7 @@ def _joined_groups(cores: DataFrame, links: DataFrame) -> DataFrame:
     kind = cores.select("core", "given", rank("given").alias("rank"))
     l = links.join(kind, "core").join(kind.select(F.col("core").alias("to"), F.col("given").alias("to_given"), F.col("rank").alias("to_rank")), "to")  # noqa: E741
     up = materialize(l.filter("to_rank > rank AND (given IS NULL OR left(ltrim('~', to_given), 1) = given)").select("core", "rank", "to").distinct(), "up")
-    initial = materialize(_only(up.filter("rank = 1"), "core", "to").withColumnRenamed("to", "maker"), "initial")
+    initial = _only(up.filter("rank = 1"), "core", "to").withColumnRenamed("to", "maker")
     bare = up.filter("rank = 0").join(initial.select(F.col("core").alias("to"), F.col("maker").alias("via")), "to", "left").select("core", F.coalesce("via", "to").alias("maker"))
     return kind.select("core").join(initial.unionByName(_only(bare, "core", "maker")), "core", "left").select("core", F.coalesce("maker", "core").alias("maker"))
 
@@ -317,7 +317,7 @@ def link_names(names: DataFrame) -> DataFrame:
     fits = F.col("mine").isNull() | F.col("theirs").isNull() | _same_given("mine", "theirs") | (stated & (F.left("mine", F.lit(1)) == F.left("theirs", F.lit(1))))
     bare = bare.filter(fits).join(maker_of, "other").select("pid", "maker").distinct()
     weak = profiles.filter("form IN ('single', 'initial')").select("pid", "form", F.col("given").alias("i"), F.element_at("words", 1).alias("q"), F.col("trade").alias("t"))
-    held = materialize(words.select("maker", "trade", "words", F.posexplode("words").alias("at", "e")), "held")
+    held = words.select("maker", "trade", "words", F.posexplode("words").alias("at", "e"))
     alone, family = weak.select("q").distinct(), held.select("e").distinct()
     shorter = trie_join(alone, family, 1)  # the longer one of two strings asks for the shorter
     longer = trie_join(family.withColumnRenamed("e", "q"), alone.withColumnRenamed("q", "e"), 1).select(F.col("e").alias("q"), F.col("q").alias("e"), "d")
@@ -334,6 +334,7 @@ def link_names(names: DataFrame) -> DataFrame:
     loose = met.filter("ta IS NULL AND tb IS NULL").filter(_same_given("ga", "gb")).select("a", "b").join(may.select(F.col("pid").alias("a")).distinct(), "a", "left_anti").join(may.select(F.col("pid").alias("b")).distinct(), "b", "left_anti")
     rest = connected_components(loose).select(F.col("node").alias("pid"), F.col("component").alias("maker"))
     placed = placed.unionByName(rest)
+    drop(distinct, near, orders)
     return parsed.select("mfr", "pid").join(placed, "pid", "left").select("mfr", F.coalesce("maker", "pid").alias("maker"))
 
 
@@ -344,7 +345,7 @@ BLOCK = 500
 def spelling_pairs(linked: DataFrame) -> DataFrame:
     """(mfr_a, mfr_b), mfr_a < mfr_b: all pairs of spellings of one maker."""
     blocks = linked.groupBy("maker").agg(F.count("*").alias("n")).filter("n > 1").select("maker", F.ceil(F.col("n") / BLOCK).alias("blocks"))
-    sized = materialize(linked.join(blocks, "maker"), "sized")
+    sized = linked.join(blocks, "maker")
     left = sized.select(F.col("mfr").alias("mfr_a"), "maker", F.expr("pmod(xxhash64(mfr), blocks)").alias("block"))
     right = sized.select(F.col("mfr").alias("mfr_b"), "maker", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"))
     return left.join(right, ["maker", "block"]).filter("mfr_a < mfr_b").select("mfr_a", "mfr_b")

@@ -136,6 +136,15 @@ def trie_join(queries: DataFrame, entries: DataFrame, k: int = 2) -> DataFrame:
     query_udf = F.pandas_udf(lambda s: s.map(lambda x: query_shards(x, k)), "array<string>")
     index = entries.filter("e <> ''").select(F.explode(index_udf("e")).alias("shard"), F.lit(False).alias("query"), F.col("e").alias("s"))
     ask = queries.filter("q <> ''").select(F.explode(query_udf("q")).alias("shard"), F.lit(True).alias("query"), F.col("q").alias("s"))
+    # A shard holds a string at most once, so small sides have no hot shard.
+    if max(entries.count(), queries.count()) > CELL:
+        index, ask = divided(index, ask)
+    rows = index.unionByName(ask).repartition(parallelism(spark), "shard").sortWithinPartitions("shard", "query")
+    return rows.mapInPandas(_stream(k), "q string, e string, d int").distinct()
+
+
+def divided(index: DataFrame, ask: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their hot shards divided into cells."""
     sizes = index.unionByName(ask).groupBy("shard").agg(F.count_if(~F.col("query")).alias("held"), F.count_if("query").alias("asked"))
     hot = materialize(sizes.filter(F.greatest("held", "asked") > CELL).select("shard", *[F.ceil(F.col(c) / CELL).alias(c) for c in ("held", "asked")]), "hot")
     if not hot.isEmpty():
@@ -146,5 +155,4 @@ def trie_join(queries: DataFrame, entries: DataFrame, k: int = 2) -> DataFrame:
             return j.select(F.concat_ws("#", "shard", F.col("held").cast("string"), F.col("asked").cast("string")).alias("shard"), "query", "s")
 
         index, ask = cells(index, "held", "asked"), cells(ask, "asked", "held")
-    rows = index.unionByName(ask).repartition(parallelism(spark), "shard").sortWithinPartitions("shard", "query")
-    return rows.mapInPandas(_stream(k), "q string, e string, d int").distinct()
+    return index, ask
