@@ -66,8 +66,11 @@ def lexical_candidates(rec: DataFrame) -> DataFrame:
     tok = k.select("key", F.array_distinct(F.split("key", " ")).alias("toks"))
     df = tok.select(F.explode("toks").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
     ranked = tok.select("key", F.explode("toks").alias("t")).join(df, "t").groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"]).alias("toks"))
-    prefix = ranked.select("key", "toks", F.explode(F.slice("toks", F.lit(1), (F.size("toks") / 2).cast("int") + 1)).alias("t"))
-    pairs = prefix.alias("x").join(prefix.alias("y"), F.col("x.t") == F.col("y.t")).filter("x.key < y.key").select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.toks").alias("ta"), F.col("y.toks").alias("tb")).distinct()
+    prefix = ranked.select("key", F.size("toks").alias("n"), F.explode(F.slice("toks", F.lit(1), (F.size("toks") / 2).cast("int") + 1)).alias("t"))
+    # Half of all tokens shared: neither record has more than twice the tokens of the other. Tokens are fetched for distinct pairs.
+    alike = (F.col("x.t") == F.col("y.t")) & (F.col("x.key") < F.col("y.key")) & (F.least("x.n", "y.n") * 2 >= F.greatest("x.n", "y.n"))
+    pairs = prefix.alias("x").join(prefix.alias("y"), alike).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
+    pairs = pairs.join(ranked.select(F.col("key").alias("a"), F.col("toks").alias("ta")), "a").join(ranked.select(F.col("key").alias("b"), F.col("toks").alias("tb")), "b")
     pairs = pairs.filter(F.exists(F.array_intersect("ta", "tb"), lambda t: F.length(t) >= 4))
     overlap = pairs.filter(F.size(F.array_intersect("ta", "tb")) * 2 >= F.size(F.array_union("ta", "tb"))).select("a", "b", F.lit("overlap").alias("signal"))
     order = F.when(F.col("signal") == "term", 0).when(F.col("signal") == "plural", 1).when(F.col("signal") == "acronym", 2).otherwise(3)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
+from ..session import materialize
 
 # Letter pairs whose loss shows a damaged text layer, per pair of the control letters.
 PAIR_RATIOS = {"ti": 0.8219, "fi": 0.2329, "ff": 0.1199, "fl": 0.0068, "ct": 0.4452, "st": 0.3938, "tt": 0.1301}
@@ -45,7 +46,8 @@ def recognised_headings(ls: DataFrame, id_col: str) -> DataFrame:
     t = F.trim("line")
     number = X.leading_number(t)["number"]
     caps = (F.length(t) <= 48) & t.rlike(r"\p{L}") & (t == F.upper(t)) & ~X.is_admonition(t)
-    heads = ls.filter((t != "") & ~X.is_furniture(t)).withColumn("number", number).filter(F.col("number").isNotNull() | caps)
+    # Furniture is asked for last: few lines are headings otherwise.
+    heads = ls.filter(t.rlike("^[0-9]") | caps).withColumn("number", number).filter((F.col("number").isNotNull() | caps) & ~X.is_furniture(t))
     level = F.when(F.col("number").isNotNull(), F.size(F.split("number", r"\."))).otherwise(1)
     return heads.select(id_col, "line_no", t.alias("heading"), level.alias("level"), "number")
 
@@ -62,8 +64,9 @@ def outline(heads: DataFrame, id_col: str) -> DataFrame:
     Texts with levels above WINDOW_LEVELS are read with a stack of open headings instead.
     """
     cols = [id_col, "line_no", "heading", "level", "number"]
-    if heads.filter(F.col("level") > WINDOW_LEVELS).isEmpty():  # a scan without shuffle
-        return _windowed(heads.select(*cols), id_col)
+    heads = materialize(heads.select(*cols), "headings")  # few beside the lines they were found in
+    if heads.filter(F.col("level") > WINDOW_LEVELS).isEmpty():
+        return _windowed(heads, id_col)
     marked = heads.select(*cols).withColumn("_deep", F.expr(f"max(level) OVER (PARTITION BY {id_col})") > WINDOW_LEVELS)
     kind = dict(heads.dtypes)
     schema = ", ".join(f"{c} {kind[c]}" for c in cols) + ", parent int, end_line int"
