@@ -104,9 +104,11 @@ def publish_heartbeats(spark: SparkSession, payload: DataFrame, path: str, every
     written = {"n": 0}
 
     def beat(_batch: DataFrame, number: int) -> None:
-        payload.withColumns({"beat": F.lit(number), "at": F.current_timestamp()}).coalesce(1).write.mode("overwrite").json(f"{path}/beat={number}")
+        if beats is not None and written["n"] >= beats:  # a batch that began while the query was being stopped
+            return
         if number > 1:
             drop_path(spark, f"{path}/beat={number - 2}")
+        payload.withColumns({"beat": F.lit(number), "at": F.current_timestamp()}).coalesce(1).write.mode("overwrite").json(f"{path}/beat={number}")
         written["n"] += 1
 
     q = spark.readStream.format("rate").option("rowsPerSecond", 1).load().writeStream.foreachBatch(beat).option("checkpointLocation", f"{path}-checkpoint").trigger(processingTime=every).start()
