@@ -41,6 +41,18 @@ def grid_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.column_pairs(c, P.header_rows(c))
 
 
+HEADER_WORDS = ("Affected Part", "Replacement", "Customer Part Number", "Generic family", "Date", "Device", "")
+
+
+def order_grid_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header row and paired columns of grids whose rows are the line items of an order: any of their first six may be the header, with several affected columns, aliases, blanks and rows of different width."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
+    words = F.array(*[F.lit(w) for w in HEADER_WORDS])
+    cells = F.transform(F.sequence(F.lit(0), F.lit(3) + F.col("p") % 3), lambda j: F.element_at(words, ((F.col("p") + j * F.col("s")) % len(HEADER_WORDS) + 1).cast("int")))
+    c = li.select(F.col("l_orderkey").alias("grid_id"), (F.col("l_linenumber") - 1).alias("row"), F.posexplode(cells).alias("col", "cell"))
+    return P.column_pairs(c, P.header_rows(c))
+
+
 def grid_part_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part rows of every grid."""
     return P.grid_parts(_cells(spark, sf_dir))
@@ -119,7 +131,7 @@ def text_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return s.select("step_key", F.array_join(toks, " ").alias("tokens"), F.exists(toks, lambda t: t.rlike(r"^[A-Z]{2,3}-\d{4}-\d{3}$")).alias("names_part"))
 
 
-QUERIES = {f.__name__: f for f in (part_dedupe_first_wins, part_dedupe_tallies, grid_columns, grid_part_rows, merged_parts, snippet_grounding, scorecard, set_identity_score, header_verdicts, run_rates, worst_across_fires, readiness_posture, text_tokens)}
+QUERIES = {f.__name__: f for f in (part_dedupe_first_wins, part_dedupe_tallies, grid_columns, order_grid_columns, grid_part_rows, merged_parts, snippet_grounding, scorecard, set_identity_score, header_verdicts, run_rates, worst_across_fires, readiness_posture, text_tokens)}
 
 _P = "p AS (SELECT procedure_id, step_key, unnest(range(len(internal_part_numbers))) AS pos, unnest(internal_part_numbers) AS mpn FROM mfg_steps)"
 _R = "r AS (SELECT *, row_number() OVER (PARTITION BY procedure_id, trim(mpn) ORDER BY step_key, pos) AS rn FROM p WHERE trim(coalesce(mpn, '')) <> '')"
@@ -135,6 +147,11 @@ SQL = {
     "part_dedupe_first_wins": f"WITH {_P}, {_R} SELECT procedure_id, step_key, pos, trim(mpn) AS mpn FROM r WHERE rn = 1",
     "part_dedupe_tallies": f"WITH {_P}, {_R} SELECT procedure_id, count(DISTINCT nullif(trim(coalesce(mpn, '')), '')) AS kept, count(nullif(trim(coalesce(mpn, '')), '')) - count(DISTINCT nullif(trim(coalesce(mpn, '')), '')) AS duplicate, count(*) FILTER (trim(coalesce(mpn, '')) = '') AS no_mpn FROM p GROUP BY 1",
     "grid_columns": "SELECT DISTINCT procedure_id AS grid_id, 0 AS header_row, 0 AS affected, 2 AS replacement, 3 AS customer FROM mfg_steps",
+    "order_grid_columns": f"""WITH l AS (SELECT l_orderkey AS grid_id, l_linenumber - 1 AS row, min(l_partkey) AS p, min(l_suppkey) AS s FROM lineitem GROUP BY ALL), e AS (SELECT grid_id, row, p, s, unnest(range(0, 4 + p % 3)) AS col FROM l),
+      c AS (SELECT grid_id, row, col, (p + col * s) % 7 AS k FROM e), r AS (SELECT *, CASE k WHEN 0 THEN 'a' WHEN 1 THEN 'r' WHEN 2 THEN 'c' WHEN 3 THEN 'x' WHEN 5 THEN 'a' END AS role FROM c),
+      g AS (SELECT grid_id, row, count(*) FILTER (k <> 6) AS filled, count(*) FILTER (role IN ('a', 'r')) AS score FROM r WHERE row < 6 GROUP BY ALL), h AS (SELECT grid_id, row AS header_row FROM g WHERE filled >= 2 AND score > 0 QUALIFY row_number() OVER (PARTITION BY grid_id ORDER BY score DESC, row) = 1),
+      t AS (SELECT r.grid_id, header_row, col, role FROM r JOIN h ON r.grid_id = h.grid_id AND r.row = h.header_row), n AS (SELECT *, (SELECT min(b.col) FROM t b WHERE b.grid_id = t.grid_id AND b.col > t.col AND b.role = 'a') AS stop FROM t WHERE role = 'a')
+      SELECT grid_id, header_row, col AS affected, (SELECT min(b.col) FROM t b WHERE b.grid_id = n.grid_id AND b.col > n.col AND b.role = 'r' AND b.col < coalesce(n.stop, 99)) AS replacement, (SELECT min(b.col) FROM t b WHERE b.grid_id = n.grid_id AND b.col > n.col AND b.role = 'c' AND b.col < coalesce(n.stop, 99)) AS customer FROM n""",
     "grid_part_rows": _PARTS,
     "merged_parts": f"SELECT grid_id, row, affected, CASE WHEN NOT contains(replacement, ',') THEN replacement END AS replacement, customer FROM ({_PARTS}) QUALIFY row_number() OVER (PARTITION BY grid_id, affected ORDER BY row) = 1",
     "snippet_grounding": f"""WITH {_P}, n AS (SELECT DISTINCT procedure_id, mpn AS needle FROM p WHERE mpn IS NOT NULL), h AS (SELECT n.procedure_id, needle, step_key, is_value_added FROM n LEFT JOIN mfg_steps s ON s.procedure_id = n.procedure_id AND {_N.format('needle')} <> '' AND contains({_N.format('instruction_text')}, {_N.format('needle')})),
@@ -143,7 +160,7 @@ SQL = {
     "scorecard": f"""WITH {_G}, l AS ({_LONG}), b AS (SELECT "column", CASE WHEN have IS NULL THEN 'n' WHEN want = '<empty>' THEN CASE WHEN have = '' THEN 'm' ELSE 'e' END WHEN have = '' THEN 'v' WHEN have = want THEN 'm' ELSE 'x' END AS k FROM l WHERE want IS NOT NULL AND want <> '')
       SELECT coalesce("column", '(all)') AS "column", count(*) FILTER (k = 'm') AS "match", count(*) FILTER (k = 'x') AS mismatch, count(*) FILTER (k = 'e') AS expected_empty_got_value, count(*) FILTER (k = 'v') AS expected_value_got_empty, count(*) FILTER (k = 'n') AS not_exported, count(*) AS asserted, count(*) FILTER (k = 'm') / count(*) AS rate FROM b GROUP BY ROLLUP ("column")""",
     "set_identity_score": f"""WITH {_P}, t AS (SELECT DISTINCT procedure_id, mpn FROM p WHERE mpn IS NOT NULL), s AS (SELECT DISTINCT procedure_id, unnest(regexp_extract_all(instruction_text, '[A-Z]{{2,3}}-\\d{{4}}-\\d{{3}}')) AS mpn FROM mfg_steps), j AS (SELECT coalesce(t.procedure_id, s.procedure_id) AS procedure_id, t.mpn AS tm, s.mpn AS sm FROM t FULL JOIN s ON t.procedure_id = s.procedure_id AND t.mpn = s.mpn)
-      SELECT procedure_id, count(*) FILTER (tm = sm) AS exact, count(*) FILTER (sm IS NULL) AS missing, count(*) FILTER (tm IS NULL) AS spurious, 0 AS malformed FROM j GROUP BY 1""",
+      SELECT procedure_id, count(*) FILTER (tm = sm) AS exact, count(*) FILTER (sm IS NULL) AS missing, count(*) FILTER (tm IS NULL) AS spurious, count(*) FILTER (sm IS NOT NULL AND regexp_matches(sm, '[\\n\\r\\t,]|  ')) AS malformed FROM j GROUP BY 1""",
     "header_verdicts": f"""WITH {_G} SELECT CASE WHEN t.mfr IS NULL THEN 'pending' WHEN coalesce(trim(g.mfr), '') = '' THEN 'absent' WHEN g.mfr = t.mfr THEN 'exact' WHEN g.mfr = upper(t.mfr) THEN 'alias' WHEN {_SUF.format('g.mfr')} = {_SUF.format('t.mfr')} THEN 'misformatted' ELSE 'wrong' END AS verdict, count(*) AS n FROM t LEFT JOIN g USING (notice_id) GROUP BY 1""",
     "run_rates": f"WITH {_FLAGS} SELECT * FROM f",
     "worst_across_fires": f"""WITH {_FLAGS}, l AS ({' UNION ALL '.join(f"SELECT fire, records, '{c}' AS flag, {c} AS n FROM f" for c in ('no_mfr', 'no_date', 'no_revision', 'no_ltb'))}) SELECT flag, arg_max(fire, n * 100 - fire) AS fire, max(n) AS n, arg_max(records, n * 100 - fire) AS records, count(DISTINCT (n, records)) = 1 AS agree FROM l GROUP BY 1""",
