@@ -1,5 +1,6 @@
 import io
 import random
+import re
 import zipfile
 
 import pytest
@@ -275,3 +276,34 @@ def test_witnessed_parts(spark):
     got = {(r.doc, r.mpn): r.verdict for r in trust.witnessed(parts, texts, "doc").collect()}
     assert got[1, "I552-1"] == got[1, "5521-1"] == got[1, "AB-1234-567"] == got[1, "AB-7788"] == got[1, "AB9"] == got[1, "TI5521"] == "kept"
     assert got[1, "T55211"] == got[1, "T5521"] == "suspect" and got[1, "ZZ-1234"] == got[2, "5521-1"] == got[1, "--"] == "unseen" and got[3, "521-1"] == "kept"
+
+
+def test_overlap_pairs_pass_no_shuffle(spark, monkeypatch, tmp_path):
+    from weftline.plans import concepts as plans
+
+    rng = random.Random(5)
+    words = ["heat", "soak", "pin", "tool", "wear", "ab", "abcd", "valve", "check", "feed"]
+    keys = sorted({" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(300)} | {"abba", "abba b b a", "aaaa", "aaaa aaaa aaaa aaaa", "pins", "tool s"})
+    terms = {k: [rng.choice(keys)] for k in keys[::3]}
+    rows = [("c", i, k.upper(), terms.get(k)) for i, k in enumerate(keys)]
+    spark.createDataFrame(rows, "course_id string, slide int, name string, related_terms array<string>").write.parquet(str(tmp_path / "slide_concepts.parquet"))
+
+    def signal(a, b):
+        if b in terms.get(a, []) or a in terms.get(b, []):
+            return "term"
+        if len({re.sub("(?<=[^s])s$", "", re.sub("ies$", "y", k)) for k in (a, b)}) == 1:
+            return "plural"
+        if any(" " not in s and 2 <= len(s) <= 6 and " " in w and s == "".join(x[0] for x in w.split()) for s, w in ((a, b), (b, a))):
+            return "acronym"
+        x, y = set(a.split()), set(b.split())
+        return "overlap" if any(len(t) >= 4 for t in x & y) and 2 * len(x & y) >= len(x | y) else None
+
+    want = {(a, b): s for i, a in enumerate(keys) for b in keys[i + 1 :] if (s := signal(a, b))}
+    for block in (100_000, 7):
+        monkeypatch.setattr(concepts, "BLOCK", block, raising=False)
+        df = plans.blocked_candidates(spark, str(tmp_path))
+        got = [((r.a, r.b), r.signal) for r in df.collect()]
+        assert len(got) == len(want) and dict(got) == want
+        assert set(want.values()) == {"term", "plural", "acronym", "overlap"}
+        above = df._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
+        assert "Aggregate" not in above and "Repartition" not in above

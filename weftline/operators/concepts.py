@@ -7,11 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..session import materialize
+from ..session import materialize, parallelism
 from .components import connected_components
 
 #: Proposals below this confidence are not made; the best of each course are kept.
 LEAST_CONFIDENCE, TOP_PER_COURSE = 0.7, 50
+#: Keys of a block that meet undivided, and pairs that a task looks at.
+BLOCK, TASK_PAIRS = 8192, 1 << 24
 # Confidence of lexical signals without vectors, strongest first.
 SIGNALS = {"term": 0.70, "plural": 0.80, "acronym": 0.60, "overlap": 0.40}
 # Fixed values: (base, weight) of the confidence with a cosine.
@@ -33,7 +35,7 @@ def concept_records(rows: DataFrame) -> DataFrame:
 
 def mutual_links(rows: DataFrame) -> DataFrame:
     """(a, b), a < b: keys that name each other among their related terms."""
-    e = rows.select(X.align_key("name").alias("key"), F.explode("related_terms").alias("t")).select("key", X.align_key("t").alias("t")).filter("key <> '' AND t <> '' AND key <> t").distinct()
+    e = term_keys(rows)
     back = e.select(F.col("t").alias("key"), F.col("key").alias("t"))
     return e.join(back, ["key", "t"]).filter("key < t").select(F.col("key").alias("a"), F.col("t").alias("b"))
 
@@ -48,37 +50,101 @@ def aligned(rows: DataFrame) -> DataFrame:
     return named.select("key", F.col("n.name").alias("canonical"), F.concat(F.lit("canonical_"), F.left(F.sha2(F.col("n.key"), 256), F.lit(16))).alias("canonical_id"))
 
 
-def lexical_candidates(rec: DataFrame) -> DataFrame:
-    """(a, b, signal, confidence), a < b: the strongest lexical signal between records, found by blocking keys.
+def keys_of(rows: DataFrame) -> DataFrame:
+    """(key): the aligned keys of all names."""
+    return rows.select(X.align_key("name").alias("key")).filter("key <> ''").distinct()
+
+
+def term_keys(rows: DataFrame) -> DataFrame:
+    """(key, t): keys and the keys of their related terms."""
+    e = rows.select(X.align_key("name").alias("key"), F.explode("related_terms").alias("t"))
+    return e.select("key", X.align_key("t").alias("t")).filter("key <> '' AND t <> '' AND key <> t").distinct()
+
+
+def named_pairs(keys: DataFrame, terms: DataFrame) -> DataFrame:
+    """(a, b, o), a < b: pairs by term (0), plural (1) or acronym (2), the strongest of each. No more than a few a key and term:
+    a plural key stands for at most four keys, and one short key equals given initials."""
+    pair = lambda x, y, o: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), F.lit(o).alias("o"))
+    term = terms.join(keys.select(F.col("key").alias("t")), "t").select(*pair("key", "t", 0))
+    p = keys.select("key", X.plural_key(F.col("key")).alias("p"))
+    plural = p.join(p.select(F.col("key").alias("other"), "p"), "p").filter("key < other").select(*pair("key", "other", 1))
+    long = keys.filter("key LIKE '% %'").select(F.col("key").alias("l"), X.initials(F.col("key")).alias("i"))
+    short = keys.filter("key NOT LIKE '% %' AND length(key) BETWEEN 2 AND 6").select(F.col("key").alias("i"))
+    acronym = short.join(long, "i").select(*pair("i", "l", 2))
+    return term.unionByName(plural).unionByName(acronym).groupBy("a", "b").agg(F.min("o").alias("o"))
+
+
+def held_pairs(pairs: DataFrame) -> DataFrame:
+    """(key, held): every pair at the end that has fewer pairs, so that no list is longer than the root of twice the number of pairs."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n"))
+    n = pairs.select("a", "b").join(ends.select(F.col("key").alias("a"), F.col("n").alias("na")), "a").join(ends.select(F.col("key").alias("b"), F.col("n").alias("nb")), "b")
+    at_a = F.col("na") <= F.col("nb")
+    return n.select(F.when(at_a, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(at_a, F.col("b")).otherwise(F.col("a")).alias("other")).groupBy("key").agg(F.collect_list("other").alias("held"))
+
+
+def overlap_pairs(keys: DataFrame, known: DataFrame) -> DataFrame:
+    """(a, b), a < b: keys that share a token of four letters and half of all their tokens, but for the pairs ``known`` (a, b).
+
+    The blocks are the rarer half of a key's tokens and one more: two keys that share half of all their
+    tokens share one of these, and the rarest token they share is among them on both sides. A pair is made
+    in that block only. So pairs, whose number grows with the square of a block, are made once and pass no
+    shuffle; blocks of more than ``BLOCK`` keys are divided on both sides.
+    """
+    spark = keys.sparkSession
+    tok = keys.select("key", F.explode(F.array_distinct(F.split("key", " "))).alias("t"))
+    df = tok.groupBy("t").agg(F.count("*").alias("df"))
+    # Tokens of one key only are counted but not listed.
+    ranked = tok.join(df, "t").groupBy("key").agg(F.count("*").cast("int").alias("n"), F.array_sort(F.collect_list(F.when(F.col("df") > 1, F.struct("df", "t")))).alias("r"))
+    ranked = ranked.select("key", "n", F.col("r.t").alias("toks")).filter(F.size("toks") > 0).join(held_pairs(known), "key", "left")
+    ranked = materialize(ranked, "ranked")
+    blocks = F.floor(F.col("n") / 2).cast("int") + 1 - (F.col("n") - F.size("toks"))
+    prefix = ranked.select("key", "n", "toks", "held", F.posexplode(F.slice("toks", F.lit(1), F.greatest(blocks, F.lit(0)))).alias("at", "t"))
+    sizes = materialize(prefix.groupBy("t").agg(F.count("*").alias("size")).filter("size > 1"), "blocks")
+    big = materialize(sizes.filter(F.col("size") > BLOCK).select("t", F.ceil(F.col("size") / BLOCK).cast("int").alias("parts")), "parts")
+    work = sizes.agg(F.sum(F.col("size").cast("double") * F.col("size"))).first()[0] or 0.0
+    tasks = max(4 * parallelism(spark), min(10_000, int(work / 2 / TASK_PAIRS)))
+    placed = prefix.join(big, "t", "left").withColumn("parts", F.coalesce("parts", F.lit(1))).withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")).cast("int"))
+    cell = ["t", "i", "j"]
+    x = placed.withColumn("i", F.col("part")).withColumn("j", F.explode(F.sequence("part", F.col("parts") - 1)))
+    y = placed.withColumn("j", F.col("part")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("part"))))
+
+    def side(rows: DataFrame, s: str) -> DataFrame:
+        before, rest = F.slice("toks", F.lit(1), F.col("at")), F.slice("toks", F.col("at") + 2, F.size("toks"))
+        bits = F.aggregate(before, F.lit(0).cast("long"), lambda m, t: m.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(t), F.lit(64)))))
+        rows = rows.select(*cell, "key", "n", "at", "toks", "held").repartition(tasks, *cell)
+        of = {"key": F.col("key"), "n": F.col("n"), "before": before, "bits": bits, "rest": rest, "text": F.array_join(rest, " "), "long": F.filter(rest, lambda t: F.length(t) >= 4), "held": F.col("held")}
+        return rows.select(*cell, *(c.alias(s + name) for name, c in of.items()))
+
+    held = lambda s, o: F.coalesce(F.array_contains(F.col(f"{s}held"), F.col(f"{o}key")), F.lit(False))
+    # Bits and texts only spare most pairs the comparison of arrays.
+    shared = F.when(F.col("xtext") == F.col("ytext"), F.size("xrest")).otherwise(F.size(F.array_intersect("xrest", "yrest"))) + 1
+    alike = (
+        ((F.col("i") < F.col("j")) | (F.col("xkey") < F.col("ykey")))
+        & (F.least("xn", "yn") * 2 >= F.greatest("xn", "yn"))
+        & ((F.col("xbits").bitwiseAND(F.col("ybits")) == 0) | ~F.arrays_overlap("xbefore", "ybefore"))
+        & (shared * 3 >= F.col("xn") + F.col("yn"))
+        & ((F.length("t") >= 4) | F.arrays_overlap("xlong", "ylong"))
+        & ~held("x", "y") & ~held("y", "x")
+    )
+    return side(x, "x").join(side(y, "y"), cell).filter(alike).select(F.least("xkey", "ykey").alias("a"), F.greatest("xkey", "ykey").alias("b"))
+
+
+def lexical_candidates(rows: DataFrame) -> DataFrame:
+    """(a, b, signal, confidence), a < b: the strongest lexical signal between the keys of (name, related_terms), found by blocking keys.
 
     term: one lists the other among its terms; plural: equal but for the plural; acronym: one is the
     other's initials; overlap: they share a token of four letters and half of all their tokens. Every
-    signal is an equality join on its blocking key. For overlap the blocks are the rarer half of a
-    record's tokens and one more: two records that share half of all their tokens share one of these.
+    signal is an equality join on its blocking key.
     """
-    k = rec.select("key", "terms")
-    term = k.select("key", F.explode("terms").alias("o")).join(k.select(F.col("key").alias("o")), "o").select(F.least("key", "o").alias("a"), F.greatest("key", "o").alias("b"), F.lit("term").alias("signal"))
-    s = k.select("key", X.plural_key(F.col("key")).alias("p"))
-    plural = s.alias("x").join(s.alias("y"), F.col("x.p") == F.col("y.p")).filter("x.key < y.key").select(F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.lit("plural").alias("signal"))
-    long = k.filter("key LIKE '% %'").select(F.col("key").alias("l"), X.initials(F.col("key")).alias("i"))
-    short = k.filter("key NOT LIKE '% %' AND length(key) BETWEEN 2 AND 6").select(F.col("key").alias("i"))
-    acronym = short.join(long, "i").select(F.least("i", "l").alias("a"), F.greatest("i", "l").alias("b"), F.lit("acronym").alias("signal"))
-    tok = k.select("key", F.array_distinct(F.split("key", " ")).alias("toks"))
-    df = tok.select(F.explode("toks").alias("t")).groupBy("t").agg(F.count("*").alias("df"))
-    ranked = tok.select("key", F.explode("toks").alias("t")).join(df, "t").groupBy("key").agg(F.transform(F.array_sort(F.collect_list(F.struct("df", "t"))), lambda x: x["t"]).alias("toks"))
-    prefix = ranked.select("key", F.size("toks").alias("n"), F.explode(F.slice("toks", F.lit(1), (F.size("toks") / 2).cast("int") + 1)).alias("t"))
-    # Half of all tokens shared: neither record has more than twice the tokens of the other. Tokens are fetched for distinct pairs.
-    alike = (F.col("x.t") == F.col("y.t")) & (F.col("x.key") < F.col("y.key")) & (F.least("x.n", "y.n") * 2 >= F.greatest("x.n", "y.n"))
-    pairs = prefix.alias("x").join(prefix.alias("y"), alike).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    pairs = pairs.join(ranked.select(F.col("key").alias("a"), F.col("toks").alias("ta")), "a").join(ranked.select(F.col("key").alias("b"), F.col("toks").alias("tb")), "b")
-    pairs = pairs.filter(F.exists(F.array_intersect("ta", "tb"), lambda t: F.length(t) >= 4))
-    overlap = pairs.filter(F.size(F.array_intersect("ta", "tb")) * 2 >= F.size(F.array_union("ta", "tb"))).select("a", "b", F.lit("overlap").alias("signal"))
-    order = F.when(F.col("signal") == "term", 0).when(F.col("signal") == "plural", 1).when(F.col("signal") == "acronym", 2).otherwise(3)
-    best = term.unionByName(plural).unionByName(acronym).unionByName(overlap).groupBy("a", "b").agg(F.min_by("signal", order).alias("signal"))
-    conf = F.lit(None).cast("double")
-    for name, c in SIGNALS.items():
-        conf = F.when(F.col("signal") == name, c).otherwise(conf)
-    return best.select("a", "b", "signal", conf.alias("confidence"))
+    keys = materialize(keys_of(rows), "keys")
+    named = materialize(named_pairs(keys, term_keys(rows)), "named")
+    return signalled(named.unionByName(overlap_pairs(keys, named).withColumn("o", F.lit(3))))
+
+
+def signalled(pairs: DataFrame) -> DataFrame:
+    """(a, b, signal, confidence) from (a, b, o), o being the place of the signal in ``SIGNALS``."""
+    of = lambda values: F.element_at(F.array(*map(F.lit, values)), F.col("o") + 1)
+    return pairs.select("a", "b", of(SIGNALS).alias("signal"), of(SIGNALS.values()).alias("confidence"))
 
 
 def cosine_confidence(signal: str, cosine) -> F.Column:
