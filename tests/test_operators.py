@@ -307,3 +307,17 @@ def test_overlap_pairs_pass_no_shuffle(spark, monkeypatch, tmp_path):
         assert set(want.values()) == {"term", "plural", "acronym", "overlap"}
         above = df._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[0]
         assert "Aggregate" not in above and "Repartition" not in above
+
+
+def test_proposals_look_for_no_overlaps_and_shuffle_no_hot_pairs(spark, small, monkeypatch):
+    import oracle
+
+    from weftline.plans import concepts as plans
+
+    def none(*_):
+        raise AssertionError("no overlap is confident enough")
+
+    monkeypatch.setattr(concepts, "overlap_pairs", none, raising=False)
+    for hot in (1, 300, 1e9):  # no key is hot, some are, all are
+        monkeypatch.setattr(concepts, "HOT_KEYS", hot, raising=False)
+        assert oracle.compare(plans.proposal_topn(spark, small), oracle.connect(small), plans.SQL["proposal_topn"]) == ""

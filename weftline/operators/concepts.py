@@ -14,6 +14,8 @@ from .components import connected_components
 LEAST_CONFIDENCE, TOP_PER_COURSE = 0.7, 50
 #: Keys of a block that meet undivided, and pairs that a task looks at.
 BLOCK, TASK_PAIRS = 8192, 1 << 24
+#: Fewer keys than this can each hold more than 1/HOT_KEYS of what is taught.
+HOT_KEYS = 300
 # Confidence of lexical signals without vectors, strongest first.
 SIGNALS = {"term": 0.70, "plural": 0.80, "acronym": 0.60, "overlap": 0.40}
 # Fixed values: (base, weight) of the confidence with a cosine.
@@ -129,16 +131,18 @@ def overlap_pairs(keys: DataFrame, known: DataFrame) -> DataFrame:
     return side(x, "x").join(side(y, "y"), cell).filter(alike).select(F.least("xkey", "ykey").alias("a"), F.greatest("xkey", "ykey").alias("b"))
 
 
-def lexical_candidates(rows: DataFrame) -> DataFrame:
+def lexical_candidates(rows: DataFrame, least: float = 0.0) -> DataFrame:
     """(a, b, signal, confidence), a < b: the strongest lexical signal between the keys of (name, related_terms), found by blocking keys.
 
     term: one lists the other among its terms; plural: equal but for the plural; acronym: one is the
     other's initials; overlap: they share a token of four letters and half of all their tokens. Every
-    signal is an equality join on its blocking key.
+    signal is an equality join on its blocking key. Confidences below ``least`` are left out; overlaps, the
+    weakest signal, are not even looked for then.
     """
     keys = materialize(keys_of(rows), "keys")
     named = materialize(named_pairs(keys, term_keys(rows)), "named")
-    return signalled(named.unionByName(overlap_pairs(keys, named).withColumn("o", F.lit(3))))
+    pairs = named if SIGNALS["overlap"] < least else named.unionByName(overlap_pairs(keys, named).withColumn("o", F.lit(3)))
+    return signalled(pairs).filter(F.col("confidence") >= least)
 
 
 def signalled(pairs: DataFrame) -> DataFrame:
@@ -155,6 +159,30 @@ def cosine_confidence(signal: str, cosine) -> F.Column:
     return out
 
 
+def shared_slides(candidates: DataFrame, taught: DataFrame) -> DataFrame:
+    """Candidates (a, b, signal, confidence) with course_id and shared, the number of slides with both, for every course that has both.
+
+    ``taught`` has one row (course_id, key, slides) per course and key. A pair is looked up in the courses of
+    the end that fewer courses have. Only where both ends are among the keys that hold more than 1/HOT_KEYS
+    of the rows - fewer than HOT_KEYS, by counting - are pairs made within each course, which shuffles none.
+    """
+    taught = taught.filter("course_id IS NOT NULL")
+    width = materialize(taught.groupBy("key").agg(F.count("*").alias("w")), "widths")
+    limit = (width.agg(F.sum("w")).first()[0] or 0) / HOT_KEYS
+    end = lambda c: width.select(F.col("key").alias(c), F.col("w").alias(f"w{c}"))
+    c = materialize(candidates.join(end("a"), "a").join(end("b"), "b"), "candidates")
+    hot = (F.col("wa") > limit) & (F.col("wb") > limit)
+    at_a = F.col("wa") <= F.col("wb")
+    cold = c.filter(~hot).select(F.when(at_a, F.col("a")).otherwise(F.col("b")).alias("key"), F.when(at_a, F.col("b")).otherwise(F.col("a")).alias("other"), "signal", "confidence")
+    cold = cold.join(taught.withColumnRenamed("slides", "mine"), "key").join(taught.withColumnRenamed("key", "other"), ["course_id", "other"])
+    cold = cold.select("course_id", F.least("key", "other").alias("a"), F.greatest("key", "other").alias("b"), "signal", "confidence", F.size(F.array_intersect("mine", "slides")).alias("shared"))
+    own = taught.join(F.broadcast(width.filter(F.col("w") > limit).select("key")), "key")
+    own = own.groupBy("course_id").agg(F.collect_list(F.struct("key", "slides")).alias("own")).select("course_id", "own", F.explode("own").alias("x"))
+    own = own.select("course_id", "x", F.explode("own").alias("y")).filter("x.key < y.key").select("course_id", F.col("x.key").alias("a"), F.col("y.key").alias("b"), F.col("x.slides").alias("mine"), F.col("y.slides").alias("slides"))
+    own = own.join(F.broadcast(c.filter(hot).drop("wa", "wb")), ["a", "b"]).select("course_id", "a", "b", "signal", "confidence", F.size(F.array_intersect("mine", "slides")).alias("shared"))
+    return cold.unionByName(own)
+
+
 def top_proposals(candidates: DataFrame, course: str, per: int = TOP_PER_COURSE) -> DataFrame:
     """The best ``per`` candidates of each course by shared slides, confidence, then names."""
     w = f"row_number() OVER (PARTITION BY {course} ORDER BY shared DESC, confidence DESC, a, b)"

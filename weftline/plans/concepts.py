@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import recognise as R
 from ..functions import text as X
 from ..operators import concepts as C
-from ..session import table
+from ..session import materialize, table
 
 
 def _slides(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,11 +37,10 @@ def blocked_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def proposal_topn(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best proposals of each course among concepts both of whose slides it has."""
-    s = _slides(spark, sf_dir).select("course_id", "slide", X.align_key("name").alias("key")).filter("key <> ''").distinct()
-    cand = C.lexical_candidates(_slides(spark, sf_dir)).filter(F.col("confidence") >= C.LEAST_CONFIDENCE)
-    per = s.groupBy("course_id", "key").agg(F.collect_set("slide").alias("slides"))
-    j = cand.join(per.select("course_id", F.col("key").alias("a"), F.col("slides").alias("sa")), "a").join(per.select("course_id", F.col("key").alias("b"), F.col("slides").alias("sb")), ["course_id", "b"])
-    return C.top_proposals(j.withColumn("shared", F.size(F.array_intersect("sa", "sb"))), "course_id", 20).select("course_id", "a", "b", "signal", "shared", "rank")
+    s = _slides(spark, sf_dir)
+    taught = s.select("course_id", "slide", X.align_key("name").alias("key")).filter("key <> ''").groupBy("course_id", "key").agg(F.collect_set("slide").alias("slides"))
+    j = C.shared_slides(C.lexical_candidates(s, C.LEAST_CONFIDENCE), materialize(taught, "taught"))
+    return C.top_proposals(j, "course_id", 20).select("course_id", "a", "b", "signal", "shared", "rank")
 
 
 def slide_section_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
