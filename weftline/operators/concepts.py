@@ -37,7 +37,7 @@ def concept_records(rows: DataFrame) -> DataFrame:
 
 def mutual_links(rows: DataFrame) -> DataFrame:
     """(a, b), a < b: keys that name each other among their related terms."""
-    e = term_keys(rows)
+    e = term_keys(rows).distinct()
     back = e.select(F.col("t").alias("key"), F.col("key").alias("t"))
     return e.join(back, ["key", "t"]).filter("key < t").select(F.col("key").alias("a"), F.col("t").alias("b"))
 
@@ -58,9 +58,9 @@ def keys_of(rows: DataFrame) -> DataFrame:
 
 
 def term_keys(rows: DataFrame) -> DataFrame:
-    """(key, t): keys and the keys of their related terms."""
+    """(key, t): keys and the keys of their related terms, as often as they occur."""
     e = rows.select(X.align_key("name").alias("key"), F.explode("related_terms").alias("t"))
-    return e.select("key", X.align_key("t").alias("t")).filter("key <> '' AND t <> '' AND key <> t").distinct()
+    return e.select("key", X.align_key("t").alias("t")).filter("key <> '' AND t <> '' AND key <> t")
 
 
 def named_pairs(keys: DataFrame, terms: DataFrame) -> DataFrame:
@@ -68,8 +68,8 @@ def named_pairs(keys: DataFrame, terms: DataFrame) -> DataFrame:
     a plural key stands for at most four keys, and one short key equals given initials."""
     pair = lambda x, y, o: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"), F.lit(o).alias("o"))
     term = terms.join(keys.select(F.col("key").alias("t")), "t").select(*pair("key", "t", 0))
-    p = keys.select("key", X.plural_key(F.col("key")).alias("p"))
-    plural = p.join(p.select(F.col("key").alias("other"), "p"), "p").filter("key < other").select(*pair("key", "other", 1))
+    p = keys.groupBy(X.plural_key(F.col("key")).alias("p")).agg(F.collect_list("key").alias("of")).filter(F.size("of") > 1)
+    plural = p.select("of", F.explode("of").alias("key")).select("key", F.explode("of").alias("other")).filter("key < other").select(*pair("key", "other", 1))
     long = keys.filter("key LIKE '% %'").select(F.col("key").alias("l"), X.initials(F.col("key")).alias("i"))
     short = keys.filter("key NOT LIKE '% %' AND length(key) BETWEEN 2 AND 6").select(F.col("key").alias("i"))
     acronym = short.join(long, "i").select(*pair("i", "l", 2))
@@ -140,9 +140,11 @@ def lexical_candidates(rows: DataFrame, least: float = 0.0) -> DataFrame:
     weakest signal, are not even looked for then.
     """
     keys = materialize(keys_of(rows), "keys")
-    named = materialize(named_pairs(keys, term_keys(rows)), "named")
-    pairs = named if SIGNALS["overlap"] < least else named.unionByName(overlap_pairs(keys, named).withColumn("o", F.lit(3)))
-    return signalled(pairs).filter(F.col("confidence") >= least)
+    named = named_pairs(keys, term_keys(rows))
+    if SIGNALS["overlap"] >= least:
+        named = materialize(named, "named")
+        named = named.unionByName(overlap_pairs(keys, named).withColumn("o", F.lit(3)))
+    return signalled(named).filter(F.col("confidence") >= least)
 
 
 def signalled(pairs: DataFrame) -> DataFrame:
